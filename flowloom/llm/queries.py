@@ -4,7 +4,17 @@ from __future__ import annotations
 
 from .bpe import op6_bpe
 from .exact_dedup import OP5_SQL, op5_exact_dedup
+from .jaccard_join import op7_jaccard_join
+from .substring_dedup import op1_substring_dedup
+from .suffix_dedup import op10_suffix_dedup
 from .token_files import op9_token_files
 
-QUERIES = {"op5_exact_dedup": op5_exact_dedup, "op6_bpe": op6_bpe, "op9_token_files": op9_token_files}
+QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
+    "op5_exact_dedup": op5_exact_dedup,
+    "op6_bpe": op6_bpe,
+    "op7_jaccard_join": op7_jaccard_join,
+    "op9_token_files": op9_token_files,
+    "op10_suffix_dedup": op10_suffix_dedup,
+}
 SQL = {"op5_exact_dedup": OP5_SQL}
