@@ -15,19 +15,38 @@ import numpy as np
 from ._common import gathered
 
 _PART = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
-_OTHER = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0 ᠎ -​    ⁠　﻿]")
+#: Other white space, and what some call so.
+_OTHER = [chr(c) for c in (0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)]
+_SLOW = ["  ", " \n", "\n ", "\n\n", "\t", "\r"]
+
 _MARKS = ".,;:!?$%&#*|()\"-"
 
+#: A part as a key: a string stands for itself behind a blank, or for itself if it begins with a line end; a tuple
+#: holds a part that is taken as it is.
+Key = str | tuple[str]
+
+
+def keys(text: str) -> list[Key]:
+    """The parts of a text, as keys."""
+    has = text.__contains__
+    if any(map(has, _OTHER)):
+        return [(text,)]
+    if any(map(has, _SLOW)):
+        return [x[1:] if x[0] == " " and len(x) > 1 and x[1] not in " \n\t\r" else (x,) for x in _PART.findall(text)]
+    words: list[Key] = text.replace("\n", " \n").split(" ")
+    words[0] = (words[0],)
+    return words
+
 
-def parts(text: str) -> list[str]:
-    """The parts of a text; joined they are the text."""
-    return [text] if _OTHER.search(text) else _PART.findall(text)
+def part(key: Key) -> str:
+    """What a key stands for."""
+    return key[0] if isinstance(key, tuple) else key if key[:1] == "\n" else " " + key
 
 
-def cut(part: str) -> tuple[str, str]:
+def cut(whole: str) -> tuple[str, str]:
     """A part as what ends in a letter, and the marks behind it; or whole, with nothing behind it."""
-    core = part.rstrip(_MARKS)
-    return (core, part[len(core) :]) if core != part and core[-1:].isalpha() else (part, "")
+    core = whole.rstrip(_MARKS)
+    return (core, whole[len(core) :]) if core != whole and core[-1:].isalpha() else (whole, "")
 
 
 class PartCache(dict):
@@ -35,7 +54,7 @@ class PartCache(dict):
 
     It holds at most so many characters of parts, and starts anew when a batch begins beyond that."""
 
-    def __init__(self, encode, most: int = 12_000_000):
+    def __init__(self, encode, most: int = 30_000_000):
         super().__init__()
         self.encode, self.most = encode, most
         self._clear()
@@ -58,10 +77,11 @@ class PartCache(dict):
             self.held += len(s) + 30
         return k
 
-    def __missing__(self, part: str) -> int:
-        core, marks = cut(part)
-        k = self[part] = len(self)
-        self.held += len(part) + 30
+    def __missing__(self, key: Key) -> int:
+        whole = part(key)
+        core, marks = cut(whole)
+        k = self[key] = len(self)
+        self.held += len(whole) + 30
         self.pairs.append((self._core(core), self._core(marks)))
         return k
 
@@ -88,7 +108,7 @@ class PartCache(dict):
             self._clear()
         get, numbers, counts = self.__getitem__, [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            own = parts(text)
+            own = keys(text)
             counts[i] = len(own)
             numbers.append(np.fromiter(map(get, own), np.int64, len(own)))
         self._settle()

@@ -13,7 +13,9 @@ beside each other, ordered by text; range partitioning keeps one doc_id in one s
 
 from __future__ import annotations
 
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -71,6 +73,26 @@ class Folder:
             return np.frombuffer(f.read(), dtype)
 
 
+_WORD = re.compile("(?:(\\n)(?! ))?( ?[A-Za-zÀ-ÖØ-öø-ɏ]+)")
+
+
+def _shown() -> dict[int, int]:
+    """The characters that byte-level models write bytes as: printable ones of Latin-1 as themselves, the rest from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: b for b in own} | {b: 256 + k for k, b in enumerate(rest)}
+
+
+_SHOWN = _shown()
+
+
+def _word_is_piece(tokenizer) -> bool:
+    """Whether this is a byte-level tokenizer by the usual pattern, with nothing before it."""
+    said = json.loads(tokenizer.to_str())
+    kind = said.get("pre_tokenizer") or {}
+    return said.get("normalizer") is None and said["model"]["type"] == "BPE" and kind.get("type") == "ByteLevel" and bool(kind.get("use_regex", True)) and not kind.get("add_prefix_space")
+
+
 @lru_cache(maxsize=1)
 def _cache(path: str) -> tuple[PartCache, int]:
     os.environ["RAYON_NUM_THREADS"], os.environ["TOKENIZERS_PARALLELISM"] = "1", "false"
@@ -79,10 +101,25 @@ def _cache(path: str) -> tuple[PartCache, int]:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
 
+    # A word of Latin letters, with or without a blank before it, is one piece to the pattern of such tokenizers: the
+    # library's model encodes it without the steps around it.  A line end before it is a piece of its own.
+    model, line_end = tokenizer.model, tokenizer.encode("\n", add_special_tokens=False).ids
+    plain = _word_is_piece(tokenizer)
+
     def encode(parts: list[str]) -> list[list[int]]:
         out: list[list[int]] = []
-        for k in range(0, len(parts), 2000):
-            out += [x.ids for x in tokenizer.encode_batch_fast(parts[k : k + 2000], add_special_tokens=False)]
+        others = []
+        for s in parts:
+            if plain and (m := _WORD.fullmatch(s)):
+                ids = [x.id for x in model.tokenize(m[2].encode().decode("latin-1").translate(_SHOWN))]
+                out.append(line_end + ids if m[1] else ids)
+            else:
+                others.append((len(out), s))
+                out.append([])
+        for k in range(0, len(others), 2000):
+            some = others[k : k + 2000]
+            for (i, _), x in zip(some, tokenizer.encode_batch_fast([s for _, s in some], add_special_tokens=False), strict=True):
+                out[i] = x.ids
         return out
 
     return PartCache(encode), tokenizer.get_vocab_size()
