@@ -178,6 +178,12 @@ class Exchange:
         self.answers = back if self.answers is None else self.answers.unionByName(back)
         self.rounds += 1
 
+    def close(self) -> None:
+        """Drops the tables behind; a result must have been written before."""
+        self.ws.drop("chunks")
+        for k in range(self.rounds):
+            self.ws.drop(f"answers{k}")
+
     def result(self, make: Callable[[Chunk, Answers], Iterator[pa.RecordBatch]], schema: str, names: list[str]) -> DataFrame:
         return self._over_chunks(make, schema, names)
 

@@ -11,7 +11,7 @@ or less for 1, which the one-deletion neighbourhoods of a few segments find.  Ev
 own band and of the next.
 
 Allocation by cost: first all signatures are counted (an exchange, which tells each how many different sets share
-it); then every y takes the thresholds of least cost, at first the segments that it shares with no one.  So sets
+it, and each set which chunk speaks for it); then every y takes the thresholds of least cost, at first the segments that it shares with no one.  So sets
 without near copies have no candidates, and empty or common segments are passed over.
 
 Candidates are never all pairs of a group.  Equal sets are one class.  In the first rounds each class is verified
@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import Workspace, documents, mix, one_fits, spread, window_hashes
-from ._exchange import Answers, Chunk, Exchange, deltas, dealt, frame, hash_bits, starts_of, undeltas, unframe
+from ._exchange import Answers, Chunk, Exchange, bits_back, deltas, dealt, frame, hash_bits, starts_of, undeltas, unframe
 from .substring_dedup import Words, split
 
 SHINGLE = 4
@@ -105,9 +105,15 @@ class Sets:
         np.add.at(high, doc, mix(hashes * _B + _C))
         np.add.at(low, doc, mix(hashes * _C + _A))
         high = mix(high + self.sizes.astype(np.uint64) * _A)
-        self.high = high
+        self.high, self.low = high, low
         self.keys = np.stack([high, low], axis=1).astype(">u8").view("S16").ravel() if len(counts) else np.zeros(0, "S16")
 
+    def distinct(self) -> tuple[np.ndarray, np.ndarray]:
+        """The first document of each set that is not empty, ordered by the set's hash, and that hash."""
+        some = np.flatnonzero(self.sizes > 0)
+        keys, first = np.unique(self.high[some], return_index=True)
+        return some[first], keys
+
     def shingles(self, i: int) -> np.ndarray:
         return self.hashes[self.starts[i] : self.starts[i + 1]]
 
@@ -122,8 +128,7 @@ class Signatures:
     deletions (segment row, gone: the signature without one shingle)."""
 
     def __init__(self, sets: Sets, b: Bands):
-        _, first = np.unique(sets.keys, return_index=True)
-        own = np.sort(first[sets.sizes[first] > 0])
+        own = np.sort(sets.distinct()[0])
         band = b.of(sets.sizes[own])
         row_doc, row_step, row_segment, row_full, row_wide, del_row, del_gone = [], [], [], [], [], [], []
         rows = 0
@@ -188,13 +193,25 @@ def ask_signatures(shingle: int, num: int, den: int, bits: int):
         _, _, sig, different, high = _distinct(Signatures(sets, bands(num, den, 40)), sets, bits)
         for bucket, where in dealt(sig, buckets):
             yield bucket, frame(deltas(sig[where] >> np.uint64(64 - bits)), high[where], different[where])
+        docs, keys = sets.distinct()
+        for bucket, where in dealt(keys, buckets):
+            yield buckets + bucket, frame(keys[where], sets.low[docs[where]], np.array([chunk.number]), np.zeros(0, np.uint8))
 
     return ask
 
 
-def answer_signatures(_: int, bodies: list[bytes]) -> list[bytes]:
-    """For each signature, how many different sets share it: 0 for one, else about the logarithm."""
+def answer_signatures(bucket: int, bodies: list[bytes]) -> list[bytes]:
+    """For each signature, how many different sets share it: 0 for one, else about the logarithm.  For each set, whether
+    this chunk is the first that has it, and so speaks for it."""
     parts = [unframe(b) for b in bodies]
+    if len(parts[0]) == 4:
+        sizes = [len(p[0]) for p in parts]
+        keys, low, chunks = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts]), np.repeat(np.concatenate([p[2] for p in parts]), sizes)
+        order = np.lexsort((chunks, low, keys))
+        first = np.zeros(len(keys), np.uint8)
+        first[order] = starts_of(keys[order], low[order])
+        ends = np.cumsum(sizes)
+        return [frame(first[e - n : e]) for e, n in zip(ends, sizes, strict=True)]
     sig, high, n = np.concatenate([undeltas(p[0]) for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]).astype(np.int64)
     order = np.lexsort((high, sig))
     first = starts_of(sig[order])
@@ -247,47 +264,92 @@ def choose(s: Signatures, sets: Sets, b: Bands, level: np.ndarray) -> np.ndarray
     return t
 
 
-_ROLES = ["kind", "doc_id", "set_key", "n", "sig", "probe", "index", "shingles"]
-
-
-def near_sets(exchange: Exchange, shingle: int, num: int, den: int, bits: int) -> DataFrame:
-    """Three kinds of rows.  doc: a document and its set.  sig: a signature that the set may share with another, and
-    whether it probes or is in the index.  set: a set that has such, with its shingles."""
-    buckets = exchange.buckets
-
-    def batch(kind: str, size: int, **columns: pa.Array) -> pa.RecordBatch:
-        nothing = {"doc_id": pa.int64(), "set_key": pa.binary(), "n": pa.int64(), "sig": pa.int64(), "probe": pa.bool_(), "index": pa.bool_(), "shingles": pa.binary()}
-        return pa.RecordBatch.from_arrays([pa.array([kind] * size, pa.string()), *(columns.get(c, pa.nulls(size, t)) for c, t in nothing.items())], names=_ROLES)
+class Shared:
+    """What a chunk knows after round 0: its signatures that other sets share, of the sets that it speaks for, and
+    which of them probe or are in the index."""
 
-    def make(chunk: Chunk, answers: Answers) -> Iterator[pa.RecordBatch]:
-        sets, b = Sets(chunk, shingle), bands(num, den, 40)
-        yield batch("doc", len(chunk.doc_ids), doc_id=chunk.ids, set_key=pa.array([sets.key(i) for i in range(len(chunk.doc_ids))], pa.binary()), n=pa.array(sets.sizes))
+    def __init__(self, chunk: Chunk, answers: Answers, shingle: int, b: Bands, bits: int, buckets: int):
+        self.sets = sets = Sets(chunk, shingle)
         s = Signatures(sets, b)
         order, first, sig, _, _ = _distinct(s, sets, bits)
-        if not len(sig):
-            return
         levels = np.zeros(len(sig), np.uint8)
         for bucket, where in dealt(sig, buckets):
             levels[where] = unframe(answers[0, bucket])[0]
         level = np.zeros(len(s.sig), np.uint8)
-        level[order] = levels[np.cumsum(first) - 1]
+        level[order] = levels[np.cumsum(first) - 1] if len(sig) else 0
+        docs, keys = sets.distinct()
+        speaks = np.zeros(len(sets.sizes), bool)
+        for bucket, where in dealt(keys, buckets):
+            speaks[docs[where]] = unframe(answers[0, buckets + bucket])[0].astype(bool)
         t = choose(s, sets, b, level)
-        shared = level > 0
         full, gone, probe_full, probe_gone = s.parts
-        rows = np.arange(len(s.full))
         probe = np.zeros(len(s.sig), bool)
         probe[full] = t >= 0
         probe[probe_full] = t[s.wide_rows] == 1
         probe[probe_gone] = t[s.del_row] == 1
         index = np.zeros(len(s.sig), bool)
         index[full] = index[gone] = True
-        out = np.flatnonzero(shared & (probe | index))
-        del rows
-        if not len(out):
+        out = np.flatnonzero((level > 0) & (probe | index) & speaks[s.owner])
+        out = out[np.argsort(s.sig[out], kind="stable")]
+        self.sig, self.owner, self.probe, self.index = s.sig[out], s.owner[out], probe[out], index[out]
+        self.first = starts_of(self.sig) if len(out) else np.zeros(0, bool)
+        self.begins = np.flatnonzero(self.first)
+
+
+def ask_live(shingle: int, num: int, den: int, bits: int):
+    def ask(chunk: Chunk, answers: Answers, buckets: int) -> Iterator[tuple[int, bytes]]:
+        own = Shared(chunk, answers, shingle, bands(num, den, 40), bits, buckets)
+        if not len(own.begins):
             return
+        flags = np.logical_or.reduceat(own.probe, own.begins).astype(np.uint8)
+        high = own.sets.high[own.owner]
+        flags |= 2 * (np.minimum.reduceat(high, own.begins) != np.maximum.reduceat(high, own.begins)).astype(np.uint8)
+        for bucket, where in dealt(own.sig[own.begins], buckets):
+            yield bucket, frame(own.sig[own.begins][where], flags[where])
+
+    return ask
+
+
+def answer_live(_: int, bodies: list[bytes]) -> list[bytes]:
+    """A bit for each signature: a set probes it, and another set has it.  Every set is told of by one chunk alone."""
+    parts = [unframe(b) for b in bodies]
+    sig, flags = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+    order = np.argsort(sig)
+    first = starts_of(sig[order])
+    begins = np.flatnonzero(first)
+    any_flag = np.bitwise_or.reduceat(flags[order], begins)
+    live = (any_flag & 1 > 0) & ((any_flag & 2 > 0) | (np.diff(np.append(begins, len(sig))) > 1))
+    out = np.zeros(len(sig), bool)
+    out[order] = live[np.cumsum(first) - 1]
+    ends = np.cumsum([len(p[0]) for p in parts])
+    return [np.packbits(out[e - len(p[0]) : e]).tobytes() for e, p in zip(ends, parts, strict=True)]
+
+
+_ROLES = ["kind", "doc_id", "set_key", "n", "sig", "probe", "index", "shingles"]
+
+
+def near_sets(exchange: Exchange, shingle: int, num: int, den: int, bits: int) -> DataFrame:
+    """Three kinds of rows.  doc: a document and its set.  sig: a signature by which the set may meet another, and
+    whether it probes or is in the index.  set: a set that has such, once, with its shingles."""
+    buckets = exchange.buckets
+
+    def batch(kind: str, size: int, **columns: pa.Array) -> pa.RecordBatch:
+        nothing = {"doc_id": pa.int64(), "set_key": pa.binary(), "n": pa.int64(), "sig": pa.int64(), "probe": pa.bool_(), "index": pa.bool_(), "shingles": pa.binary()}
+        return pa.RecordBatch.from_arrays([pa.array([kind] * size, pa.string()), *(columns.get(c, pa.nulls(size, t)) for c, t in nothing.items())], names=_ROLES)
+
+    def make(chunk: Chunk, answers: Answers) -> Iterator[pa.RecordBatch]:
+        own = Shared(chunk, answers, shingle, bands(num, den, 40), bits, buckets)
+        sets = own.sets
         keys = [sets.key(i) for i in range(len(chunk.doc_ids))]
-        yield batch("sig", len(out), set_key=pa.array([keys[i] for i in s.owner[out]], pa.binary()), n=pa.array(sets.sizes[s.owner[out]]), sig=pa.array(s.sig[out].view(np.int64)), probe=pa.array(probe[out]), index=pa.array(index[out]))
-        held = np.unique(s.owner[out])
+        yield batch("doc", len(keys), doc_id=chunk.ids, set_key=pa.array(keys, pa.binary()), n=pa.array(sets.sizes))
+        if not len(own.begins):
+            return
+        live = bits_back(answers, 1, dealt(own.sig[own.begins], buckets), len(own.begins))[np.cumsum(own.first) - 1]
+        sig, owner, probe, index = own.sig[live], own.owner[live], own.probe[live], own.index[live]
+        if not len(sig):
+            return
+        yield batch("sig", len(sig), set_key=pa.array([keys[i] for i in owner], pa.binary()), n=pa.array(sets.sizes[owner]), sig=pa.array(sig.view(np.int64)), probe=pa.array(probe), index=pa.array(index))
+        held = np.unique(owner)
         yield batch("set", len(held), set_key=pa.array([keys[i] for i in held], pa.binary()), n=pa.array(sets.sizes[held]), shingles=pa.array([sets.shingles(i).tobytes() for i in held], pa.binary()))
 
     schema = "kind string, doc_id long, set_key binary, n long, sig long, probe boolean, index boolean, shingles binary"
@@ -363,7 +425,7 @@ def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
 
 def join_components(rows: DataFrame, ws: Workspace, num: int, den: int) -> DataFrame:
     """node, label over the sets that link with others.  rows: of near_sets()."""
-    sets = ws.table(rows.filter("kind = 'set'").groupBy("set_key").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles")), "sets", "none")
+    sets = rows.filter("kind = 'set'").select("set_key", "n", "shingles")
     members = rows.filter("kind = 'sig'").groupBy("sig", "set_key").agg(F.first("n").alias("n"), F.max("probe").alias("probe"), F.max("index").alias("index"))
     labels = sets.select(F.col("set_key").alias("node"), F.col("set_key").alias("label"))
     members = ws.table(_open(members, labels), "members0")
@@ -405,7 +467,9 @@ def jaccard_join(docs: DataFrame, ws: Workspace, shingle: int = SHINGLE, numerat
     exchange = Exchange(docs, ws)
     bits = min(56, hash_bits(exchange.n_bytes // 8) + 8)
     exchange.round(ask_signatures(shingle, numerator, denominator, bits), answer_signatures)
-    rows = ws.table(near_sets(exchange, shingle, numerator, denominator, bits), "near", "zstd")
+    exchange.round(ask_live(shingle, numerator, denominator, bits), answer_live)
+    rows = ws.table(near_sets(exchange, shingle, numerator, denominator, bits), "near")
+    exchange.close()
     labels = join_components(rows, ws, numerator, denominator)
     members = rows.filter("kind = 'doc'").select("doc_id", "set_key", "n", F.pmod(F.xxhash64("doc_id"), F.lit(RUNS)).cast("int").alias("run"))
     # Down to the documents by (set, run), so that a set which a third of all documents have is spread.
