@@ -244,17 +244,16 @@ def allocate(need: int, equal: np.ndarray, near: np.ndarray) -> np.ndarray:
 def choose(s: Signatures, sets: Sets, b: Bands, level: np.ndarray) -> np.ndarray:
     """The threshold of every row of the band of its own, -1 elsewhere."""
     price = np.where(level == 0, 0.0, 2.0 ** ((level - 1.0) / 4))
-    full, index_gone, probe_full, probe_gone = (price[p] for p in s.parts)
-    del index_gone
+    full, _, probe_full, probe_gone = (price[p] for p in s.parts)
     near = np.full(len(s.full), np.inf)
     near[s.wide_rows] = full[s.wide_rows] + probe_full
     np.add.at(near, s.del_row, probe_gone)
     t = np.full(len(s.full), -1)
-    shared = np.zeros(len(s.full), bool)
-    shared |= full > 0
-    shared |= np.isfinite(near) & (near > 0)
+    shared = (full > 0) | (np.isfinite(near) & (near > 0))
     own = np.flatnonzero(s.step == 0)
-    begins = np.flatnonzero(starts_of(s.doc[own])) if len(own) else []
+    if not len(own):
+        return t
+    begins = np.flatnonzero(starts_of(s.doc[own]))
     for begin, end in zip(begins, [*begins[1:], len(own)], strict=True):
         rows = own[begin:end]
         if not shared[rows].any():
