@@ -438,9 +438,9 @@ def join_components(rows: DataFrame, ws: Workspace, num: int, den: int) -> DataF
             pivot = members.groupBy("sig").agg(F.min(F.struct("set_key", "label", F.col("n").alias("n"), "probe", "index")).alias("p"))
             pivots = pivot.select("sig", *(F.col(f"p.{c}").alias(f"pivot_{c}") for c in ("set_key", "label", "n", "probe", "index")))
         else:
-            # As many first members of every signature as the round allows are its pivots, and leave after it.
-            order = members.groupBy("sig").agg(F.slice(F.array_sort(F.collect_set("set_key")), 1, many).alias("keys")) if many > 1 else members.groupBy("sig").agg(F.array(F.min("set_key")).alias("keys"))
-            keys = order.select("sig", F.explode("keys").alias("set_key"))
+            # The members of a signature fall into as many shares as the round allows; the first of each is a pivot, and leaves after it.
+            share = F.pmod(F.xxhash64("set_key"), F.lit(many))
+            keys = members.groupBy("sig", share.alias("share")).agg(F.min("set_key").alias("set_key")).drop("share")
             pivots = ws.table(members.join(keys, ["sig", "set_key"]).select("sig", *(F.col(c).alias(f"pivot_{c}") for c in ("set_key", "label", "n", "probe", "index"))), f"pivots{k}")
         met = members.join(pivots, "sig").filter((F.col("label") != F.col("pivot_label")) & fits & roles)
         pairs = met.groupBy(F.least("set_key", "pivot_set_key").alias("a"), F.greatest("set_key", "pivot_set_key").alias("b")).agg(F.count(F.lit(1)).alias("shared"))

@@ -118,12 +118,6 @@ def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     return left.join(pairs, [key, "run"], "left")
 
 
-def _logs(counts: Column, langs: list[str], smooth: float) -> Column:
-    """From a map of language to count, log shares."""
-    each = F.array(*(F.coalesce(F.element_at(counts, F.lit(x)), F.lit(0)).cast("double") + smooth for x in langs))
-    return each
-
-
 def fuse(evidence: DataFrame, langs: list[str], ws: Workspace) -> DataFrame:
     """evidence with lang_id and posterior.  evidence: lang, host, domain, suffix, n_grams, likelihood, run."""
     size = len(langs)
