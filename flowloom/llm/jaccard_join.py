@@ -41,6 +41,9 @@ from .substring_dedup import Words, split
 
 SHINGLE = 4
 NUMERATOR, DENOMINATOR = 85, 100
+#: Segments for each unit of difference that linked sets may have.  The more there are, the more of a set's own
+#: segments no other set shares: one that differs from all others by much more than the bound then has no candidates.
+SLACK = 1.6
 #: Runs into which the way back from sets to documents is divided.
 RUNS = 64
 #: Rounds in which a class meets one pivot only.
@@ -60,7 +63,7 @@ class Bands:
         low.append(low[-1] * denominator // numerator + 1)
         self.low = np.array(low)
         self.most = np.array([self.difference(2 * (b - 1)) for b in low[1:]])
-        self.m = np.array([0 if d == 0 else math.ceil(1.08 * (d + 1)) + 1 for d in self.most])
+        self.m = np.array([0 if d == 0 else math.ceil(SLACK * (d + 1)) + 1 for d in self.most])
         self.wide = np.minimum(self.m, 2 + self.m // 32)
 
     def difference(self, both):
