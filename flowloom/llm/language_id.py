@@ -6,6 +6,9 @@ texts that look like language l are declared as d, smoothed.  Address suffix: ho
 the prior of a host is its own counts shrunk to those of its domain, which are shrunk to those of all.  The
 posterior is the product, the text counting as STRENGTH independent trigrams at most, since trigrams overlap.
 
+One alternative more is an unknown language: all cells alike, a prior of UNKNOWN on every host, and the declared
+languages and suffixes of all rows.  Text whose trigrams are in no declared language is likelier in it.
+
 Rejected are texts without a trigram of letters, and those whose best posterior is under LEAST.  Null text counts as
 empty; a null declared language, host or suffix is no evidence, and such rows are not learnt from.  With nothing
 declared anywhere there are no languages, and all is rejected.  The number of languages is bounded by LANGUAGES, the
@@ -27,6 +30,8 @@ from ._common import Workspace, documents, one_fits, slices, utf8
 GRAMS = 1 << 14
 STRENGTH = 64
 LEAST = 0.5
+#: Prior of a language that no row declares.
+UNKNOWN = 0.01
 LANGUAGES = 200
 #: Rows of a domain that weigh as much as a host's own, and of all for a domain's.
 SHRINK = 20.0
@@ -119,7 +124,7 @@ def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
 
 def fuse(evidence: DataFrame, langs: list[str], ws: Workspace) -> DataFrame:
-    """evidence with lang_id and posterior.  evidence: lang, host, domain, suffix, n_grams, likelihood, run."""
+    """evidence with lang_id and posterior, an unknown language being one alternative.  evidence: lang, host, domain, suffix, n_grams, likelihood, run."""
     size = len(langs)
     looks = F.when(F.col("n_grams") > 0, F.array_position("likelihood", F.array_max("likelihood")).cast("int"))
     rows = ws.table(evidence.withColumn("looks", looks), "evidence")
@@ -147,17 +152,19 @@ def fuse(evidence: DataFrame, langs: list[str], ws: Workspace) -> DataFrame:
     hosts = hosts.join(domain_of, "host").join(domains, "domain", "left").select("host", shrunk(F.col("host_counts"), F.coalesce("domain_prior", overall)).alias("host_prior"))
     per = F.array(*(F.lit(float(x)) for x in all_n))
     given = lambda counts: F.zip_with(counts, per, lambda c, n: F.log((c + 1.0) / (n + 2.0 * size)))
-    declared = table("lang").select("lang", given(F.col("counts")).alias("declared_log"))
-    suffixes = table("suffix").select("suffix", given(F.col("counts")).alias("suffix_log"))
+    given_any = lambda counts: F.log((F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) + 1.0) / (float(all_n.sum()) + 2.0 * size))
+    declared = table("lang").select("lang", given(F.col("counts")).alias("declared_log"), given_any(F.col("counts")).alias("declared_any"))
+    suffixes = table("suffix").select("suffix", given(F.col("counts")).alias("suffix_log"), given_any(F.col("counts")).alias("suffix_any"))
     out = rows
     for key, right in (("host", hosts), ("lang", declared), ("suffix", suffixes)):
         out = spread_join(out, right, key)
     none = F.array(*(F.lit(0.0) for _ in langs))
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
-    logs = add(add(add(F.col("likelihood"), F.coalesce("declared_log", none)), F.coalesce("suffix_log", none)), F.transform(F.coalesce("host_prior", overall), lambda p: F.log(p)))
+    logs = add(add(add(F.col("likelihood"), F.coalesce("declared_log", none)), F.coalesce("suffix_log", none)), F.transform(F.coalesce("host_prior", overall), lambda p: F.log(p * (1 - UNKNOWN))))
+    unknown = F.least("n_grams", F.lit(STRENGTH)) * F.lit(-math.log(GRAMS)) + F.coalesce("declared_any", F.lit(0.0)) + F.coalesce("suffix_any", F.lit(0.0)) + F.lit(math.log(UNKNOWN))
     out = out.withColumn("logs", logs).withColumn("top", F.array_max("logs"))
     best = F.array_position("logs", F.col("top")).cast("int")
-    weight = F.aggregate("logs", F.lit(0.0), lambda a, x: a + F.exp(x - F.col("top")))
+    weight = F.aggregate("logs", F.exp(unknown - F.col("top")), lambda a, x: a + F.exp(x - F.col("top")))
     return out.withColumn("lang_id", F.element_at(F.array(*(F.lit(x) for x in langs)), best)).withColumn("posterior", F.lit(1.0) / weight)
 
 

@@ -110,6 +110,21 @@ def test_language_edges(spark, docs, empty, ws):
     assert not any(r.kept for r in identify(nothing, ws, **source_parts(nothing["source"])).collect())
 
 
+def test_text_in_no_declared_language_is_rejected(spark, sf, ws):
+    rng = random.Random(4)
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text", "lang", "source")
+    odd = [
+        "".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(300)),
+        "".join(rng.choice("bcdfghjklmnpqrstvwxz   ") for _ in range(300)),
+        "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw.",
+        "人人生而自由,在尊严和权利上一律平等。",
+    ]
+    more = spark.createDataFrame([(-1 - k, t, None, "src1") for k, t in enumerate(odd)], docs.schema)
+    got = {r.doc_id: r.kept for r in identify(docs.unionByName(more), ws, **source_parts(F.col("source"))).collect()}
+    assert [i for i, kept in got.items() if not kept] and all(kept == (i >= 0) for i, kept in got.items())
+
+
 def test_quality_on_held_out_rows(spark, sf):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     got = op4_quality(spark, sf).collect()
