@@ -11,17 +11,19 @@ languages and suffixes of all rows.  Text whose trigrams are in no declared lang
 
 Rejected are texts without a trigram of letters, and those whose best posterior is under LEAST.  Null text counts as
 empty; a null declared language, host or suffix is no evidence, and such rows are not learnt from.  With nothing
-declared anywhere there are no languages, and all is rejected.  The number of languages is bounded by LANGUAGES, the
-most frequently declared; the model is a table of GRAMS cells for each, whatever the size of the corpus.
+declared anywhere there are no languages, and all is rejected.  Every declared language is one of the model's, however
+rare; the model is a table of GRAMS cells for each, whatever the size of the corpus, in blocks of BLOCK languages.
 """
 
 from __future__ import annotations
 
+import json
 import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,7 +34,10 @@ STRENGTH = 64
 LEAST = 0.5
 #: Prior of a language that no row declares.
 UNKNOWN = 0.01
-LANGUAGES = 200
+#: Languages whose cells are held at once.
+BLOCK = 200
+#: Scores of documents held at once.
+SCORES = 1 << 22
 #: Rows of a domain that weigh as much as a host's own, and of all for a domain's.
 SHRINK = 20.0
 RUNS = 64
@@ -74,7 +79,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
             names = np.array([x or "" for x in batch.column("lang").to_pylist()], object)
             of = np.repeat(names, n) if len(set(names)) > 1 else None
             for lang in set(names):
-                if lang not in held and len(held) >= 2 * LANGUAGES:
+                if lang not in held and len(held) >= 2 * BLOCK:
                     yield from rows()
                     held.clear()
                 own = cells if of is None else cells[of == lang]
@@ -84,39 +89,58 @@ def gram_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text", "lang").filter("lang IS NOT NULL AND lang != ''").mapInArrow(run, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
 
 
-def text_model(docs: DataFrame) -> tuple[list[str], np.ndarray]:
-    """The languages, and the log probability of each cell in each: at most LANGUAGES * GRAMS numbers."""
-    named = docs.filter("lang IS NOT NULL AND lang != ''").groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES)
-    langs = sorted(r[0] for r in named.select("lang").collect())
-    counts = np.zeros((len(langs), GRAMS))
-    rows = gram_counts(docs.filter(F.col("lang").isin(langs))).groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("cells"))  # GRAMS cells at most
-    for row in rows.toLocalIterator():
-        cells = np.array(row["cells"], np.int64)
-        counts[langs.index(row["lang"]), cells[:, 0]] = cells[:, 1]
-    smoothed = counts + 0.5
-    return langs, np.log(smoothed / smoothed.sum(axis=1, keepdims=True)).astype(np.float32)
-
-
-def text_evidence(docs: DataFrame, langs: list[str], model: np.ndarray, keep: list[str]) -> DataFrame:
+def text_model(docs: DataFrame, ws: Workspace, block: int = BLOCK) -> tuple[list[str], list[Broadcast]]:
+    """All declared languages in order, and for each block of them the log probability of each cell in each."""
+    langs = sorted(r[0] for r in docs.filter("lang IS NOT NULL AND lang != ''").select("lang").distinct().collect())
+    blocks = [langs[a : a + block] for a in range(0, len(langs), block)]
+    grams = gram_counts(docs)
+    if len(blocks) > 1:
+        grams = ws.table(grams, "grams")  # read once for each block
+    out = []
+    for some in blocks:
+        of = {lang: k for k, lang in enumerate(some)}
+        counts = np.zeros((len(some), GRAMS))
+        own = grams if len(blocks) == 1 else grams.filter(F.col("lang").isin(some))
+        for row in own.groupBy("lang").agg(F.collect_list(F.struct("cell", "n")).alias("cells")).toLocalIterator():  # GRAMS cells at most
+            cells = np.array(row["cells"], np.int64)
+            counts[of[row["lang"]], cells[:, 0]] = cells[:, 1]
+        counts += 0.5
+        out.append(docs.sparkSession.sparkContext.broadcast(np.log(counts / counts.sum(axis=1, keepdims=True)).astype(np.float32)))
+    return langs, out
+
+
+def text_evidence(docs: DataFrame, langs: list[str], model: list[Broadcast], keep: list[str]) -> DataFrame:
     """keep's columns, n_grams, and the tempered log likelihood in each language."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    size = len(langs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", 1 << 20):
-            cells, n = trigrams(batch.column("text"))
-            ends = np.concatenate([[0], np.cumsum(n)])
-            scores = np.zeros((len(n), len(langs)))
-            for k in range(len(langs)):
-                sums = np.concatenate([[0.0], np.cumsum(shared.value[k][cells], dtype=np.float64)])
-                scores[:, k] = (sums[ends[1:]] - sums[ends[:-1]]) / np.maximum(n, 1) * np.minimum(n, STRENGTH)
-            flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * len(langs), pa.int32()), pa.array(scores.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(n, pa.int64()), flat], names=[*keep, "n_grams", "likelihood"])
+        most = max(1, SCORES // size)
+        for whole in slices(batches, "text", 1 << 20):
+            for batch in (whole.slice(a, most) for a in range(0, whole.num_rows, most)):
+                cells, n = trigrams(batch.column("text"))
+                ends = np.concatenate([[0], np.cumsum(n)])
+                scores = np.zeros((len(n), size))
+                k = 0
+                for shared in model:
+                    for own in shared.value:
+                        sums = np.concatenate([[0.0], np.cumsum(own[cells], dtype=np.float64)])
+                        scores[:, k] = (sums[ends[1:]] - sums[ends[:-1]]) / np.maximum(n, 1) * np.minimum(n, STRENGTH)
+                        k += 1
+                    if len(model) > 1:
+                        shared.__dict__.pop("_value", None)  # one block in memory; read again for the next batch
+                flat = pa.ListArray.from_arrays(pa.array(np.arange(len(n) + 1) * size, pa.int32()), pa.array(scores.ravel()))
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), pa.array(n, pa.int64()), flat], names=[*keep, "n_grams", "likelihood"])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "n_grams long, likelihood array<double>"])
     return docs.select(*keep, "text").mapInArrow(run, schema)
 
 
+def constants(values: list, kind: str) -> Column:
+    """An array of constants as one expression, however many."""
+    return F.from_json(F.lit(json.dumps(values)), f"array<{kind}>")
+
+
 def spread_join(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """left with right's columns by key, unique in right.  A key that a third of left has goes to RUNS tasks: right is joined to the (key, run) pairs there are, and these to left."""
     pairs = left.select(key, "run").distinct().join(right, key)
@@ -133,14 +157,15 @@ def fuse(evidence: DataFrame, langs: list[str], ws: Workspace) -> DataFrame:
     def table(key: str) -> DataFrame:
         """For each value of key, the counts of languages as an array."""
         n = seen.filter(F.col(key).isNotNull()).groupBy(key, "looks").count()
-        return n.groupBy(key).agg(*(F.sum(F.when(F.col("looks") == k + 1, F.col("count")).otherwise(0)).alias(f"c{k}") for k in range(size))).select(key, F.array(*(F.col(f"c{k}").cast("double") for k in range(size))).alias("counts"))
+        own = n.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct("looks", F.col("count").cast("double")))).alias("n"))  # size entries at most
+        return own.select(key, F.transform(F.sequence(F.lit(1), F.lit(size)), lambda k: F.coalesce(F.try_element_at("n", k), F.lit(0.0))).alias("counts"))
 
     total = seen.groupBy("looks").count().collect()  # a row for each language
     all_n = np.zeros(size)
     for r in total:
         all_n[r["looks"] - 1] = r["count"]
     base = (all_n + 1) / (all_n + 1).sum()
-    overall = F.array(*(F.lit(float(x)) for x in base))
+    overall = constants(base.tolist(), "double")
 
     def shrunk(counts: Column, prior: Column) -> Column:
         whole = F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) + SHRINK
@@ -150,7 +175,7 @@ def fuse(evidence: DataFrame, langs: list[str], ws: Workspace) -> DataFrame:
     hosts = table("host").select("host", F.col("counts").alias("host_counts"))
     domain_of = seen.filter("host IS NOT NULL").groupBy("host").agg(F.min("domain").alias("domain"))
     hosts = hosts.join(domain_of, "host").join(domains, "domain", "left").select("host", shrunk(F.col("host_counts"), F.coalesce("domain_prior", overall)).alias("host_prior"))
-    per = F.array(*(F.lit(float(x)) for x in all_n))
+    per = constants(all_n.tolist(), "double")
     given = lambda counts: F.zip_with(counts, per, lambda c, n: F.log((c + 1.0) / (n + 2.0 * size)))
     given_any = lambda counts: F.log((F.aggregate(counts, F.lit(0.0), lambda a, x: a + x) + 1.0) / (float(all_n.sum()) + 2.0 * size))
     declared = table("lang").select("lang", given(F.col("counts")).alias("declared_log"), given_any(F.col("counts")).alias("declared_any"))
@@ -158,21 +183,21 @@ def fuse(evidence: DataFrame, langs: list[str], ws: Workspace) -> DataFrame:
     out = rows
     for key, right in (("host", hosts), ("lang", declared), ("suffix", suffixes)):
         out = spread_join(out, right, key)
-    none = F.array(*(F.lit(0.0) for _ in langs))
+    none = F.array_repeat(F.lit(0.0), size)
     add = lambda a, b: F.zip_with(a, b, lambda x, y: x + y)
     logs = add(add(add(F.col("likelihood"), F.coalesce("declared_log", none)), F.coalesce("suffix_log", none)), F.transform(F.coalesce("host_prior", overall), lambda p: F.log(p * (1 - UNKNOWN))))
     unknown = F.least("n_grams", F.lit(STRENGTH)) * F.lit(-math.log(GRAMS)) + F.coalesce("declared_any", F.lit(0.0)) + F.coalesce("suffix_any", F.lit(0.0)) + F.lit(math.log(UNKNOWN))
     out = out.withColumn("logs", logs).withColumn("top", F.array_max("logs"))
     best = F.array_position("logs", F.col("top")).cast("int")
     weight = F.aggregate("logs", F.exp(unknown - F.col("top")), lambda a, x: a + F.exp(x - F.col("top")))
-    return out.withColumn("lang_id", F.element_at(F.array(*(F.lit(x) for x in langs)), best)).withColumn("posterior", F.lit(1.0) / weight)
+    return out.withColumn("lang_id", F.element_at(constants(langs, "string"), best)).withColumn("posterior", F.lit(1.0) / weight)
 
 
 def identify(docs: DataFrame, ws: Workspace, host: Column | None = None, domain: Column | None = None, suffix: Column | None = None, key: str = "doc_id") -> DataFrame:
     """One row for each document: key, declared, lang_id, posterior, kept.  docs: key, text, lang (declared)."""
     nothing = F.lit(None).cast("string")
     rows = docs.select(key, "text", "lang", *((nothing if c is None else c).alias(n) for n, c in (("host", host), ("domain", domain), ("suffix", suffix))))
-    langs, model = text_model(rows)
+    langs, model = text_model(rows, ws)
     if not langs:
         return docs.select(key, F.col("lang").alias("declared"), nothing.alias("lang_id"), F.lit(0.0).alias("posterior"), F.lit(False).alias("kept"))
     evidence = text_evidence(rows, langs, model, [key, "lang", "host", "domain", "suffix"]).withColumn("run", F.pmod(F.xxhash64(key), F.lit(RUNS)).cast("int"))

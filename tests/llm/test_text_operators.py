@@ -125,6 +125,18 @@ def test_text_in_no_declared_language_is_rejected(spark, sf, ws):
     assert [i for i, kept in got.items() if not kept] and all(kept == (i >= 0) for i, kept in got.items())
 
 
+def test_every_declared_language_is_learnt(spark, ws):
+    rng = random.Random(6)
+    rows = []
+    for k in range(230):
+        letters = rng.sample("abcdefghijklmnopqrstuvwxyz", 8)
+        words = ["".join(rng.choice(letters) for _ in range(5)) for _ in range(12)]
+        rows += [(4 * k + j, " ".join(rng.choice(words) for _ in range(40)), f"l{k:03d}", None) for j in range(1 if k >= 200 else 2)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in identify(docs, ws, **source_parts(docs["source"])).collect()}
+    assert len(got) == len(rows) and all(got[i].kept and got[i].lang_id == lang for i, _, lang, _ in rows)
+
+
 def test_quality_on_held_out_rows(spark, sf):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
     got = op4_quality(spark, sf).collect()
