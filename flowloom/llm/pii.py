@@ -3,7 +3,8 @@
 Found are card numbers (Luhn), IBANs (modulo 97), telephone numbers, social security numbers, IPv4 addresses, dates
 that exist, e-mail addresses, and secrets behind words such as token or password.  Each is validated, read as a
 number below the size of its format, permuted by a keyed Feistel network on that range, and written back in the same
-format: separators stay, check digits are computed anew, dates remain dates.  The permutation is one to one and
+format: separators stay, check digits are computed anew, dates remain dates.  A card or an IBAN may stand before other
+numbers or capitals: where the longest match is not valid, shorter ends at its separators are tried.  The permutation is one to one and
 depends on the key alone, so equal values have equal pseudonyms in all documents, and different ones different.
 
 The network has ROUNDS rounds over the smallest even number of bits that holds the range, and walks on until it is
@@ -59,15 +60,37 @@ def refill(shape: str, characters: str) -> str:
     return "".join(next(it) if c.isalnum() else c for c in shape)
 
 
-def card(found: str, key: bytes) -> str | None:
+def card_digits(found: str) -> str | None:
+    """The digits of a valid card number."""
     digits = re.sub(r"\D", "", found)
-    if not 13 <= len(digits) <= 19 or digits[0] == "0" or luhn(digits) or len(set(digits)) == 1:
+    return None if not 13 <= len(digits) <= 19 or digits[0] == "0" or luhn(digits) or len(set(digits)) == 1 else digits
+
+
+def card(found: str, key: bytes) -> str | None:
+    digits = card_digits(found)
+    if not digits:
         return None
     body = f"{permute(int(digits[1:-1]), 10 ** (len(digits) - 2), key, 'card' + digits[0]):0{len(digits) - 2}d}"
     start = digits[0] + body
     return refill(found, start + str(-luhn(start + "0") % 10))
 
 
+#: How cards are printed.
+_PRINTED = re.compile(r"\d{13,19}|\d{4}([ -])(?:\d{4}\1\d{4}\1\d{4}(?:\1\d{3})?|\d{6}\1\d{4,5}|\d{3}\1\d{3}\1\d{3})")
+
+
+def card_end(found: str) -> int:
+    """Where the card ends that begins these groups of digits, or 0.  Of several in them, one as cards are printed goes
+    before others, then the first, then the longest; if that begins later, its turn comes later."""
+    best = (False, 0, 0)
+    groups = [m.span() for m in re.finditer(r"[0-9]+", found)]
+    for i, (a, _) in enumerate(groups):
+        for _, b in groups[i:]:
+            if b - a >= 13 and card_digits(found[a:b]):
+                best = max(best, (bool(_PRINTED.fullmatch(found[a:b])), -a, b))
+    return best[2] if not best[1] else 0
+
+
 def iban_rest(iban: str) -> int:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97
 
@@ -99,6 +122,21 @@ def iban(found: str, key: bytes) -> str | None:
     return refill(found, plain[:2] + f"{98 - iban_rest(plain[:2] + '00' + body):02d}" + body)
 
 
+#: Characters of an IBAN by country.
+_IBAN_LENGTHS = {c: n for n, cs in ((15, "NO"), (16, "BE"), (18, "DK FI FK FO GL NL SD"), (19, "MK SI"), (20, "AT BA EE KZ LT LU MN XK"), (21, "CH CR HR LI LV"), (22, "BG BH DE GB GE IE ME RS VA"), (23, "AE GI IL IQ OM SO TL"), (24, "AD CZ ES MD PK RO SA SE SK TN VG"), (25, "LY PT ST"), (26, "IS TR"), (27, "BI DJ FR GR IT MC MR SM"), (28, "AL AZ BY CY DO GT HN HU LB NI PL SV"), (29, "BR EG PS QA UA"), (30, "JO KW MU YE"), (31, "MT SC"), (32, "LC"), (33, "RU")) for c in cs.split()}
+
+
+def iban_end(found: str) -> int:
+    """Where the IBAN ends that begins these groups, or 0: at its country's length, or else at the last separator that fits."""
+    ends = [m.end() for m in re.finditer(r"[A-Z0-9]+", found)]
+    size = _IBAN_LENGTHS.get(found[:2])
+    for end in sorted(ends, key=lambda e: (len(found[:e].replace(" ", "")) == size, e), reverse=True):
+        plain = found[:end].replace(" ", "")
+        if 15 <= len(plain) <= 34 and iban_rest(plain) == 1:
+            return end
+    return 0
+
+
 def phone(found: str, key: bytes) -> str | None:
     digits = re.sub(r"\D", "", found)
     code = ""
@@ -189,6 +227,8 @@ _KINDS = (
 _ANY = re.compile("|".join(pattern for _, _, pattern in _KINDS))
 _MAY = re.compile("[0-9@]|(?i:token|secret|passw|pwd|key)")
 _BY_KIND = {name: f for name, f, _ in _KINDS}
+_SHORTER = {"card": card_end, "iban": iban_end}
+_CARD = re.compile(_KINDS[-1][2])
 
 
 def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int, int]]]:
@@ -200,8 +240,12 @@ def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int
         kind = m.lastgroup
         begin, end = m.span(kind)
         new = _BY_KIND[kind](m[kind], key)
-        if new is None and kind == "phone" and (c := re.compile(_KINDS[-1][2]).match(text, begin)) and (new := card(c[0], key)):
+        if new is None and kind == "phone" and (c := _CARD.match(text, begin)):
             kind, end = "card", c.end()
+            new = card(c[0], key)
+        if new is None and kind in _SHORTER and (size := _SHORTER[kind](text[begin:end])):
+            end = begin + size
+            new = _BY_KIND[kind](text[begin:end], key)
         if new is None:
             at = begin + 1 if kind != "secret" else end
             while at < len(text) and text[at].isalnum() and text[at - 1].isalnum():

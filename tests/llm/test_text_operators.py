@@ -202,6 +202,27 @@ def test_what_is_not_valid_stays(text):
     assert pii.pseudonymised(text) == (text, [])
 
 
+@pytest.mark.parametrize(
+    ("value", "kind", "rest"),
+    [
+        ("4111 1111 1111 1111", "card", " 123"),
+        ("4111 1111 1111 1111", "card", " 12/27"),
+        ("4111-1111-1111-1111", "card", "-123"),
+        ("4111111111111111", "card", " 12 times"),
+        ("3782 822463 10005", "card", " 1234"),
+        ("41111111 11111111", "card", " 123"),
+        ("ES9121000418450200051332", "iban", " EUR"),
+        ("AT611904300234573201", "iban", " EUROS"),
+        ("ES91 2100 0418 4502 0005 1332", "iban", " EUR 12"),
+    ],
+)
+def test_neighbours_do_not_hide_a_number(value, kind, rest):
+    alone, _ = pii.pseudonymised(value)
+    for before in ("", "12 ", "no. "):
+        new, found = pii.pseudonymised(before + value + rest)
+        assert new == before + alone + rest and found == [(kind, len(before), len(before) + len(value))]
+
+
 def test_formats_link_one_number():
     digits = lambda t: re.sub(r"\D", "", pii.pseudonymised(t)[0])
     assert digits("4539 1488 0343 6467") == digits("4539-1488-0343-6467") == digits("4539148803436467")
