@@ -7,9 +7,13 @@ it, on diagonals that differ by E at most.  So the shared q-grams of every docum
 of diagonals; bands that meet the bound are retained and verified by a banded alignment, which finds the fewest
 edits between the passage and any part of the region.
 
+Where a document holds none of an item's passages, every other stretch of PASSAGE characters of the item is tried: the
+item's shared q-grams are counted in the same bands, the stretches that meet the bound are aligned, and the one of
+fewest edits counts as one passage.  So a leak of PASSAGE characters is found at any offset in its item.
+
 The benchmark is a stated query set.  It is read in blocks of bounded size, each of which passes over all
-documents once.  Null and empty texts match nothing, and so does an item of fewer than Q characters in normal form,
-which has no q-gram.  Rows of one item_id are one item with several texts; a null doc_id or item_id passes through.
+documents once.  Null and empty texts match nothing.  An item of fewer than Q characters in normal form is found where
+a document holds the whole of it, without an edit.  Rows of one item_id are one item with several texts; a null doc_id or item_id passes through.
 """
 
 from __future__ import annotations
@@ -77,6 +81,16 @@ class Index:
         order = np.argsort(hashes, kind="stable")
         self.hashes, first, self.counts = np.unique(hashes[order], return_index=True, return_counts=True)
         self.first, self.passage, self.offset = first, passage[order], offset[order]
+        # Items of more than one passage as a whole: for each hash its items and offsets.
+        whole = [(item, symbols(t)) for item, t in dict.fromkeys((item, normal(text)) for item, text in items) if len(t) > length >= q]
+        self.length, self.most = length, max(0, min(int(budget * length), (length - q) // q))
+        self.whole_items, self.whole_codes = [x[0] for x in whole], [x[1] for x in whole]
+        n = np.array([len(c) + 1 - q for c in self.whole_codes], np.int64)
+        at = np.searchsorted(self.hashes, np.concatenate([*(grams(c, q) for c in self.whole_codes), np.zeros(0, np.uint64)]))
+        order = np.argsort(at, kind="stable")
+        self.whole, self.whole_offset = np.repeat(np.arange(len(whole)), n)[order], spread(n)[order]
+        self.whole_counts = np.bincount(at, minlength=len(self.hashes))
+        self.whole_first = np.cumsum(self.whole_counts) - self.whole_counts
         self.filter = np.zeros(1 << self.FILTER_BITS, bool)
         self.filter[(self.hashes >> np.uint64(64 - self.FILTER_BITS)).astype(np.int64)] = True
 
@@ -137,9 +151,62 @@ def align(text: np.ndarray, passage: np.ndarray, low: int, width: int, edits: in
     return int(costs[k]), int(max(0, begin[k])), int(min(len(text), base + k + len(passage)))
 
 
+def stretches(index: Index, doc: np.ndarray, at: np.ndarray, k: np.ndarray) -> Iterator[tuple[int, int, int, np.ndarray]]:
+    """Documents, whole items, lowest diagonals of the bands in which a stretch meets the bound, and where such stretches begin."""
+    n = index.whole_counts[k]
+    place = np.repeat(index.whole_first[k], n) + spread(n)
+    item, offset, doc = index.whole[place], index.whole_offset[place], np.repeat(doc, n)
+    diagonal = np.repeat(at, n) - offset
+    width, inner = index.most + 1, index.length - index.q
+    least = inner + 1 - index.q * index.most
+    for shift in (0, 1):
+        band = (diagonal + shift * width) // (2 * width)
+        order = np.lexsort((offset, band, item, doc))
+        d, p, b, o = doc[order], item[order], band[order], offset[order]
+        if len(d):
+            fresh = np.append(True, (d[1:] != d[:-1]) | (p[1:] != p[:-1]) | (b[1:] != b[:-1]) | (o[1:] != o[:-1]))
+            d, p, b, o = d[fresh], p[fresh], b[fresh], o[fresh]
+        i = np.arange(max(0, len(d) - least + 1))
+        j = i + least - 1
+        i = i[(d[i] == d[j]) & (p[i] == p[j]) & (b[i] == b[j]) & (o[j] - o[i] <= inner)]
+        if not len(i):
+            continue
+        cuts = np.flatnonzero((d[i][1:] != d[i][:-1]) | (p[i][1:] != p[i][:-1]) | (b[i][1:] != b[i][:-1])) + 1
+        for some in np.split(i, cuts):
+            x = some[0]
+            begin = np.maximum(0, o[some + least - 1] - inner)
+            end = np.minimum(o[some], len(index.whole_codes[p[x]]) - index.length)
+            sizes = np.maximum(end + 1 - begin, 0)
+            starts = np.unique(np.repeat(begin, sizes) + spread(sizes))
+            yield int(d[x]), int(p[x]), int(b[x] * 2 * width - shift * width), starts
+
+
+def fewest(text: np.ndarray, item: np.ndarray, length: int, low: int, width: int, edits: int, starts: np.ndarray) -> np.ndarray:
+    """For stretches of the item, the edits that align() finds; low is a diagonal of the whole item."""
+    span = np.arange(width + 2 * edits + 1)
+    base, far = (starts + low - edits)[:, None] + span, edits + 1
+    costs = np.where((base >= 0) & (base <= len(text)), 0, far)
+    last = np.full((len(starts), 1), far)
+    for j in range(length):
+        place = base + j
+        inside = (place >= 0) & (place < len(text))
+        same = inside & (text[np.clip(place, 0, len(text) - 1)] == item[starts + j][:, None])
+        step = np.where(inside, costs + ~same, far)
+        best = np.minimum(np.minimum(step, np.concatenate([costs[:, 1:] + 1, last], axis=1)), far)
+        costs = np.minimum(np.minimum.accumulate(best - span, axis=1) + span, far)
+        if costs.min() >= far:
+            break
+    return costs.min(axis=1)
+
+
 @lru_cache(maxsize=2)
-def _index(items: tuple, q: int, length: int, budget: float) -> Index:
-    return Index(list(items), q, length, budget)
+def _index(items: tuple, q: int, length: int, budget: float) -> tuple[Index, list[Index]]:
+    """Of the items of q characters or more, and of the shorter ones for each length."""
+    short: dict[int, list] = {}
+    for item, text in items:
+        if 0 < (n := len(normal(text))) < q:
+            short.setdefault(n, []).append((item, text))
+    return Index(list(items), q, length, budget), [Index(some, n, length, budget) for n, some in sorted(short.items())]
 
 
 def leaks(docs: DataFrame, items: list[tuple[int | None, str]], q: int = Q, length: int = PASSAGE, budget: float = BUDGET) -> DataFrame:
@@ -148,23 +215,46 @@ def leaks(docs: DataFrame, items: list[tuple[int | None, str]], q: int = Q, leng
     shared = docs.sparkSession.sparkContext.broadcast(tuple(items))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = _index(shared.value, q, length, budget)
+        index, short = _index(shared.value, q, length, budget)
+
+        def hits(index: Index, codes: list, sizes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+            at, k = index.shared(grams(np.concatenate([*codes, np.zeros(0, np.uint32)]), index.q))
+            doc = np.searchsorted(starts, at, side="right") - 1
+            inside = at - starts[doc] + index.q <= sizes[doc]
+            return doc[inside], (at - starts[doc])[inside], k[inside]
+
         for batch in slices(batches, "text", 1 << 20):
             codes = [symbols(normal(t)) for t in texts(batch.column("text"))]
             sizes = np.fromiter(map(len, codes), np.int64, len(codes))
             starts = np.cumsum(sizes) - sizes
-            at, k = index.shared(grams(np.concatenate([*codes, np.zeros(0, np.uint32)]), q))
-            doc = np.searchsorted(starts, at, side="right") - 1
-            inside = at - starts[doc] + q <= sizes[doc]
-            doc, at, k = doc[inside], at[inside], k[inside]
+            doc, at, k = hits(index, codes, sizes, starts)
             found: dict[tuple[int, int], list] = {}
-            for d, p, low in zip(*(x.tolist() for x in retained(index, doc, at - starts[doc], k)), strict=True):
+            for d, p, low in zip(*(x.tolist() for x in retained(index, doc, at, k)), strict=True):
                 e = int(index.edits[p])
                 cost, begin, end = align(codes[d], index.codes[p], low, 2 * (e + 1), e)
                 if cost <= e:
                     best = found.setdefault((d, index.items[p]), [cost, begin, end, set()])
                     best[:3] = min(best[:3], [cost, begin, end])
                     best[3].add(p)
+            passed, e, width = set(found), index.most, 2 * (index.most + 1)
+            for d, w, low, begins in stretches(index, doc, at, k):
+                if (d, index.whole_items[w]) in passed:
+                    continue
+                for a in range(0, len(begins), 512):
+                    own = begins[a : a + 512]
+                    costs = fewest(codes[d], index.whole_codes[w], length, low, width, e, own)
+                    if costs.min() <= e:
+                        s = int(own[costs.argmin()])
+                        place = list(align(codes[d], index.whole_codes[w][s : s + length], low + s, width, e))
+                        best = found.setdefault((d, index.whole_items[w]), [*place, {-1}])
+                        best[:3] = min(best[:3], place)
+            for few in short:
+                for d, a, j in zip(*(x.tolist() for x in hits(few, codes, sizes, starts)), strict=True):
+                    for p in few.passage[few.first[j] : few.first[j] + few.counts[j]].tolist():
+                        if np.array_equal(codes[d][a : a + few.q], few.codes[p]):
+                            best = found.setdefault((d, few.items[p]), [0, a, a + few.q, set()])
+                            best[:3] = min(best[:3], [0, a, a + few.q])
+                            best[3].add(-1 - few.q)
             if found:
                 ids = batch.column("doc_id").to_pylist()
                 rows = [(ids[d], item, cost, begin, end, len(ps)) for (d, item), (cost, begin, end, ps) in found.items()]

@@ -76,6 +76,19 @@ def test_leaks(spark, docs, empty, tmp_path):
     assert kept.columns == table.columns and {r.doc_id for r in kept.collect()} == {100, 104, 105, None}
 
 
+def test_leaks_at_any_offset(spark):
+    rng = random.Random(12)
+    item = dc.normal(prose(rng, 80))
+    benchmark = spark.createDataFrame([(1, item), (2, prose(rng, 80)), (3, "Seven\nYaks")], "item_id long, text string")
+    rows = [(k, "qq " + item[k : k + 100] + " zz") for k in range(0, len(item) - 100, 7)]
+    rows += [(1000 + k, "qq zz " + edited(rng, item[k : k + 100], 6) + " qq") for k in range(0, len(item) - 100, 29)]
+    rows += [(2000, "qq " + item[30:90] + " zz"), (2001, "the seven yaks"), (2002, "seven oxen, yaks")]
+    want = {(i, 1) for i, t in rows if fewest_edits(dc.normal(t), item[i % 1000 : i % 1000 + 100]) <= 6 and i < 2000} | {(2001, 3)}
+    got = dc.contaminated(frame(spark, rows), benchmark).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == want and len(want) == len(rows) - 2
+    assert all(r.edits <= 6 and r.begin < r.end and r.n_passages >= 1 for r in got)
+
+
 def test_planted_benchmark(spark, sf):
     got = {(r.doc_id, r.item_id) for r in dc.op3_decontamination(spark, sf).collect()}
     docs, items = (spark.read.parquet(f"{sf}/{t}.parquet").collect() for t in ("documents", "benchmark"))
