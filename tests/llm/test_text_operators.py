@@ -176,6 +176,14 @@ def test_ranking_learns_an_order():
     assert np.mean((scores >= 0.3) == good) > 0.95
 
 
+def test_pairs_are_a_parameter():
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(400, N_FEATURES))
+    good = x[:, 0] > 0
+    few, usual, same = (fit(x, good, **more).weights for more in ({"pairs": 10}, {}, {"pairs": 60_000}))
+    assert not np.allclose(few, usual) and np.allclose(usual, same)
+
+
 @pytest.mark.parametrize("size", [2, 3, 10, 97, 1000])
 def test_feistel_is_a_permutation(size):
     assert sorted(pii.permute(k, size, b"key", "t") for k in range(size)) == list(range(size))
