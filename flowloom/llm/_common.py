@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import atexit
-import gc
+import ctypes
+import functools
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Hashable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 #: The characters that separate words: the class [\x20\x09-\x0D].
 SPACES = r"[\x20\x09-\x0D]"
-#: Rows without a doc_id come after all others.
+#: Rows without a doc_id come after all others, beside one of this value, which stays itself in results.
 NO_ID = np.iinfo(np.int64).max
 
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _own: dict[str, str] = {}
 
 
@@ -25,7 +29,9 @@ def shared_dir(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    app = spark.sparkContext.applicationId
+    app, master = spark.sparkContext.applicationId, spark.sparkContext.master
+    if not master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share: a folder of the driver's own would not be read by them")
     if app not in _own:
         holder = tempfile.TemporaryDirectory(prefix="flowloom-")
         atexit.register(holder.cleanup)
@@ -52,17 +58,65 @@ class Workspace:
             pass
 
     def table(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-        """Writes df and reads it back; then lets go of the shuffle files behind it."""
-        df.write.option("compression", compression).parquet(f"{self.root}/{name}")
-        del df
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
-        return self.spark.read.parquet(f"{self.root}/{name}")
+        """Writes df and reads it back.  Spark deletes the shuffle files behind it as soon as it is written."""
+        was = self.spark.conf.get(_CLEAN, "false")
+        self.spark.conf.set(_CLEAN, "true")
+        try:
+            df.write.option("compression", compression).parquet(f"{self.root}/{name}")
+        finally:
+            self.spark.conf.set(_CLEAN, was)
+        return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, name: str) -> None:
         self._remove(f"{self.root}/{name}")
 
 
+_held: list[tuple[Hashable, Any]] = []
+
+
+def sole(key: Hashable, make: Callable[[], Any]) -> Any:
+    """make()'s value, kept by this worker until another key is asked for: a reused worker holds one model at a time."""
+    if not _held or _held[0][0] != key:
+        _held.clear()
+        _held.append((key, make()))
+    return _held[0][1]
+
+
+@functools.lru_cache(maxsize=1)
+def _libc() -> ctypes.CDLL | None:
+    try:
+        libc = ctypes.CDLL(None)
+        libc.malloc_trim  # noqa: B018  not every C library has it
+        return libc
+    except (OSError, AttributeError):
+        return None
+
+
+def give_back() -> None:
+    """Returns memory that is free to the system; a worker that is reused would else keep the most it ever took."""
+    pa.default_memory_pool().release_unused()
+    if libc := _libc():
+        libc.malloc_trim(0)
+
+
+def lean(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """run, with memory given back at the end of each task."""
+
+    @functools.wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
+def numbered(docs: DataFrame, ws: Workspace, name: str) -> DataFrame:
+    """docs, written once with a number of each row, by which a stage drops rows: a doc_id may be missing or repeated."""
+    return ws.table(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

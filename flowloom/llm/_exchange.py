@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ._common import NO_ID, Workspace, slices, text_sizes, utf8
+from ._common import NO_ID, Workspace, give_back, lean, slices, text_sizes, utf8
 
 CHUNK_BYTES = 3 << 20
 BUCKET_BYTES = 8 << 20
@@ -77,52 +77,59 @@ def starts_of(*sorted_keys: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Chunk:
-    """Documents beside each other; doc_ids has NO_ID where there is none."""
+    """Documents beside each other; doc_ids has NO_ID where there is none.  rows: the number of each, if it has one."""
 
     number: int
     doc_ids: np.ndarray
     starts: np.ndarray
     data: np.ndarray
+    without: np.ndarray
+    rows: np.ndarray
 
     @property
     def ids(self) -> pa.Array:
-        return pa.array(self.doc_ids, mask=self.doc_ids == NO_ID)
+        return pa.array(self.doc_ids, mask=self.without)
 
 
 _CHUNK = "chunk long, n_bytes long, n_docs long, doc_ids binary, body binary"
 
 
-def pack(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """docs as chunks of about so many bytes; a document is never divided."""
+def pack(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES, row: str | None = None) -> DataFrame:
+    """docs as chunks of about so many bytes; a document is never divided.  row: the column that numbers the rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number, held, size = TaskContext.get().partitionId() << 32, [], 0
 
-        def row() -> pa.RecordBatch:
+        def packed() -> pa.RecordBatch:
             table = pa.Table.from_batches(held).combine_chunks()
             data, starts = utf8(table.column("text"))
-            ids = table.column("doc_id").combine_chunks().fill_null(NO_ID).to_numpy(zero_copy_only=False)
-            columns = [pa.array([number]), pa.array([len(data)]), pa.array([len(ids)]), pa.array([frame(ids.astype(np.int64), deltas(starts))], pa.binary()), pa.array([_zstd()[0].compress(data.tobytes())], pa.binary())]
+            ids = table.column("doc_id").combine_chunks()
+            without = np.flatnonzero(ids.is_null().to_numpy(zero_copy_only=False))
+            ids = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False)
+            rows = table.column("row").to_numpy() if row else np.zeros(0, np.int64)
+            columns = [pa.array([number]), pa.array([len(data)]), pa.array([len(ids)]), pa.array([frame(ids.astype(np.int64), deltas(starts), without, deltas(rows))], pa.binary()), pa.array([_zstd()[0].compress(data.tobytes())], pa.binary())]
             return pa.RecordBatch.from_arrays(columns, names=["chunk", "n_bytes", "n_docs", "doc_ids", "body"])
 
         for part in slices(batches, "text", chunk_bytes):
             own = int(text_sizes(part.column("text")).sum())
             if held and size + own > chunk_bytes:
-                yield row()
+                yield packed()
                 number, held, size = number + 1, [], 0
             held.append(part)
             size += own
         if held:
-            yield row()
+            yield packed()
 
-    return docs.select("doc_id", "text").mapInArrow(run, _CHUNK)
+    return docs.select("doc_id", "text", *([F.col(row).alias("row")] if row else [])).mapInArrow(lean(run), _CHUNK)
 
 
 def _chunk(table: pa.Table | pa.RecordBatch, i: int) -> Chunk:
-    ids, gaps = unframe(table.column("doc_ids")[i].as_py())
+    ids, gaps, none, rows = unframe(table.column("doc_ids")[i].as_py())
+    without = np.zeros(len(ids), bool)
+    without[none] = True
     n = table.column("n_bytes")[i].as_py()
     data = np.frombuffer(_zstd()[1].decompress(table.column("body")[i].as_py(), max_output_size=max(1, n)), np.uint8) if n else np.zeros(0, np.uint8)
-    return Chunk(table.column("chunk")[i].as_py(), ids, undeltas(gaps), data)
+    return Chunk(table.column("chunk")[i].as_py(), ids, undeltas(gaps), data, without, undeltas(rows))
 
 
 #: By round and bucket, what came back.
@@ -134,9 +141,9 @@ Answer = Callable[[int, list[bytes]], list[bytes]]
 class Exchange:
     """Rounds of questions and answers over the chunks of a table of documents."""
 
-    def __init__(self, docs: DataFrame, ws: Workspace, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES):
+    def __init__(self, docs: DataFrame, ws: Workspace, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES, row: str | None = None):
         self.ws = ws
-        self.chunks = ws.table(pack(docs, chunk_bytes), "chunks", "none")
+        self.chunks = ws.table(pack(docs, chunk_bytes, row), "chunks", "none")
         self.n_bytes, self.n_docs = self.chunks.agg(F.coalesce(F.sum("n_bytes"), F.lit(0)), F.coalesce(F.sum("n_docs"), F.lit(0))).first()
         self.buckets = max(1, math.ceil(self.n_bytes / bucket_bytes))
         self.answers: DataFrame | None = None
@@ -151,11 +158,12 @@ class Exchange:
                     for i in range(batch.num_rows):
                         yield from make(_chunk(batch, i), {})
 
-            return self.chunks.mapInArrow(alone, schema)
+            return self.chunks.mapInArrow(lean(alone), schema)
 
         def both(left: pa.Table, right: pa.Table) -> pa.Table:
             found = {(r, b): body for r, b, body in zip(right.column("round").to_pylist(), right.column("bucket").to_pylist(), right.column("body").to_pylist(), strict=True)}
             batches = [x for i in range(left.num_rows) for x in make(_chunk(left, i), found)]
+            give_back()
             return pa.Table.from_batches(batches) if batches else empty_table
 
         empty_table = pa.table({n: pa.array([], k) for n, k in zip(names, _kinds(schema), strict=True)})
@@ -171,6 +179,7 @@ class Exchange:
         def answered(table: pa.Table) -> pa.Table:
             bucket = table.column("bucket")[0].as_py()
             back = answer(bucket, table.column("body").to_pylist())
+            give_back()
             return pa.table({"chunk": table.column("chunk"), "round": pa.array([number] * len(back), pa.int32()), "bucket": table.column("bucket"), "body": pa.array(back, pa.binary())})
 
         asked = self._over_chunks(questions, "chunk long, bucket int, body binary", ["chunk", "bucket", "body"])

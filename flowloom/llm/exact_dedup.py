@@ -1,18 +1,23 @@
 """Exact dedup: a tree merge of sorted digest runs, in DataFrame operations only.
 
 Every document gets a digest (SHA-256 of its normalised text) and a check (byte length and a second, unrelated
-hash).  The documents are dealt into runs; a run holds one row for each digest in it: smallest identifier and count.
-In binomial rounds FAN_IN neighbouring runs are merged into one, until one run, spread over all partitions by
-digest, is left: each round shuffles what is left of the runs, keyed by (run, digest), so that a text which a third
-of all rows share never meets in one task: it is one row for each run at every level.  At every level rows merge
-only if digest, length and second hash agree, and keep the smallest identifier.
+hash).  The documents are dealt into RUNS runs; within a run the rows of one text are combined before anything is
+shuffled, and a run holds one row for each digest in it, in order: smallest identifier and count.
+
+Runs are merged in binomial rounds: in each, FAN_IN neighbours send their rows to the partitions of their common
+successor, which are ranges of its digests, and there the sorted rows that come from each are merged by one sort (which
+finds them in sorted stretches) and one pass of aggregation in that order, without another exchange.  Rows merge only
+if digest, length and second hash agree, and keep the smallest identifier.  After the last round one run is left,
+spread over all partitions by range of digest.  So a text which a third of all rows share never meets in one task: it
+is one row for each run at every level.
 
 The way back down is a join on (run, digest) as well: the winners go to the rows of the first level, which has each
 digest once for each run, and from there to the documents of their run.
 
-Nulls: a null text counts as empty; a null doc_id comes after every other.  Rows of one text and one doc_id:
-exactly one of them stays, the first as the digest table has them.  Columns of other names pass through; the
-operator's own columns must not be among them.
+Nulls: a null text counts as empty; a null doc_id comes after every other.  Rows of one text and one doc_id, and
+repeated rows: exactly one of them stays, the first as the digest table has them.  Texts of any length are read whole;
+an empty table gives none.  Only doc_id and text are read; other columns, whatever their names, pass through
+dedup_stage.
 """
 
 from __future__ import annotations
@@ -22,9 +27,11 @@ from pyspark.sql import functions as F
 
 from ._common import SPACES, Workspace, documents, one_fits
 
-FAN_IN = 8
-#: Runs at the first level: FAN_IN ** 2, so that two rounds merge them.
+FAN_IN = 2
+#: Runs at the first level.
 RUNS = 64
+#: Of digests, the ranges that a run is divided into: as many as there are shuffle partitions, of 16 bits.
+RANGES = 1 << 16
 
 
 def normalised(text: Column) -> Column:
@@ -49,21 +56,30 @@ def smallest(by: list[str], size: Column) -> list[Column]:
     return [first.alias("first"), F.sum(size).alias("size")]
 
 
-def merged(runs: DataFrame, key: list[str]) -> DataFrame:
-    """One level: rows of the same run and key become one."""
-    level = runs.groupBy("run", *key).agg(*smallest(key, F.col("size")))
-    return level.select("run", *key, F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), "size")
+def of_run(level: DataFrame, key: list[str]) -> DataFrame:
+    """One row for each run and key."""
+    level = level.groupBy("run", "range", *key).agg(*smallest(key, F.col("size")))
+    return level.select("run", "range", *key, F.col("first.doc_id").alias("doc_id"), F.col("first.row").alias("row"), "size")
+
+
+def merged(level: DataFrame, key: list[str], fan_in: int) -> DataFrame:
+    """One round: the rows of neighbouring runs go to the ranges of their successor, in order, and become one run."""
+    level = level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int")).repartition("run", "range")
+    return of_run(level.sortWithinPartitions("run", "range", *key), key)
 
 
 def exact_groups(docs: DataFrame, ws: Workspace, runs: int = RUNS, fan_in: int = FAN_IN) -> DataFrame:
     """One row for each document: doc_id, row, digest, keep_id, group_size, kept."""
     key = ["digest", "length", "check"]
     all_rows = ws.table(digests(docs, runs), "digests")
-    first = merged(all_rows.withColumn("size", F.lit(1).cast("long")), key)
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    place = F.conv(F.hex(F.substring("digest", 1, 2)), 16, 10).cast("int")
+    ranged = all_rows.withColumn("range", F.floor(place * ranges / RANGES).cast("int")).withColumn("size", F.lit(1).cast("long"))
+    first = of_run(ranged, key)
     level, left = first, runs
     while left > 1:
         left = -(-left // fan_in)
-        level = merged(level.withColumn("run", F.floor(F.col("run") / fan_in).cast("int")).sortWithinPartitions("run", *key), key)
+        level = merged(level, key, fan_in)
     winners = level.select(*key, F.col("doc_id").alias("keep_id"), F.col("row").alias("keep_row"), F.col("size").alias("group_size"))
     down = first.select("run", *key).join(winners, key)
     return all_rows.join(down, ["run", *key]).withColumn("kept", F.col("row") == F.col("keep_row"))

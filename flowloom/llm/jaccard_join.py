@@ -14,14 +14,19 @@ Allocation by cost: first all signatures are counted (an exchange, which tells e
 it, and each set which chunk speaks for it); then every y takes the thresholds of least cost, at first the segments that it shares with no one.  So sets
 without near copies have no candidates, and empty or common segments are passed over.
 
-Candidates are never all pairs of a group.  Equal sets are one class.  In the first rounds each class is verified
-against one pivot, the class with which it shares most signatures; what links is merged.  Then only signatures whose
-members are in different components are left; for these, pivots are compared with every member of another component,
-and leave, until no signature has two components.  Every test counts the common shingles exactly, on 64-bit hashes.
+Candidates are never all pairs of a group.  Equal sets are one class.  Sets that share signatures, directly or by way
+of others, are a group, and its pivot is the set that shares most.  Every set of the group is verified against the
+pivot, which also yields its difference from it.  What links with the pivot is one component.  A set y that does not
+can link with a set z of its group only if their differences dy and dz have (|dy| + |dz| - D) / 2 elements in common,
+at least one.  So both have such an element among their rarest, and the differences are indexed by these, by element
+and size; elements that no other set of the group has take part in no pair, and sets with more than D of them drop
+out.  First every set meets the least set at each of its elements, and the best of these is verified; then, of what
+is left in different components, all.  Every test is an exact count, on 64-bit hashes of shingles.
 
 Nulls: a null text has no words, and is linked with nothing, like an empty one.  Rows without doc_id are documents
 like others; component_id is the smallest doc_id that there is in the component, null if none.  Rows of equal
-doc_id are documents of their own.
+doc_id are documents of their own, and so are repeated rows.  An empty table gives none.  Only doc_id and text are
+read; other columns, whatever their names, pass through near_dedup_stage.
 """
 
 from __future__ import annotations
@@ -35,9 +40,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Workspace, documents, mix, one_fits, spread, window_hashes
+from ._common import Workspace, documents, lean, mix, numbered, one_fits, spread, window_hashes
 from ._exchange import Answers, Chunk, Exchange, bits_back, deltas, dealt, frame, hash_bits, starts_of, undeltas, unframe
-from .substring_dedup import Words, split
+from .substring_dedup import Words
 
 SHINGLE = 4
 NUMERATOR, DENOMINATOR = 85, 100
@@ -46,9 +51,13 @@ NUMERATOR, DENOMINATOR = 85, 100
 SLACK = 1.6
 #: Runs into which the way back from sets to documents is divided.
 RUNS = 64
-#: Rounds in which a class meets one pivot only.
-MERGES = 2
+#: Members of a group for each copy of its pivot.
+SHARE = 512
+#: Classes into which the sizes of differences fall, from one bound to the next.
+CLASSES = 8
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
 _A, _B, _C = np.uint64(0x9FB21C651E98DF25), np.uint64(0xD1342543DE82EF95), np.uint64(0xA24BAED4963EE407)
 
 
@@ -83,9 +92,7 @@ class Sets:
     """The shingle sets of a chunk's documents: hashes, ordered within each; where each starts; its key of 16 bytes."""
 
     def __init__(self, chunk: Chunk, shingle: int):
-        data = chunk.data.copy()
-        data[(data >= 65) & (data <= 90)] |= 32
-        words = Words(split(Chunk(chunk.number, chunk.doc_ids, chunk.starts, data)))
+        words = Words(_LOWER[chunk.data], chunk.starts)
         counts = np.diff(words.starts)
         at, hashes = words.windows(shingle)
         docs = [words.doc[at]]
@@ -96,7 +103,8 @@ class Sets:
                 found.append(mix(window_hashes(words.symbols, n)[words.starts[short]] * _A + np.uint64(n)))
                 docs.append(short)
         doc, hashes = np.concatenate(docs), np.concatenate(found)
-        order = np.lexsort((hashes, doc))
+        order = np.argsort(hashes)
+        order = order[np.argsort(doc[order].astype(np.uint16 if len(counts) < 1 << 16 else np.int64), kind="stable")]
         doc, hashes = doc[order], hashes[order]
         if len(doc):
             new = starts_of(doc, hashes)
@@ -180,12 +188,15 @@ def _distinct(s: Signatures, sets: Sets, bits: int):
     """Signatures in order, truncated to bits: order, first of each, number of different sets, a set."""
     sig = s.sig & np.uint64(((1 << bits) - 1) << (64 - bits))
     high = sets.high[s.owner] >> np.uint64(16)
-    order = np.lexsort((high, sig))
-    sig, high = sig[order], high[order]
-    first = starts_of(sig) if len(sig) else np.zeros(0, bool)
+    order = np.argsort(sig)
+    first = starts_of(sig[order]) if len(sig) else np.zeros(0, bool)
     begins = np.flatnonzero(first)
     if not len(begins):
         return order, first, sig, np.zeros(0, np.uint8), high
+    many = np.repeat(np.diff(np.append(begins, len(sig))) > 1, np.diff(np.append(begins, len(sig))))
+    some = order[many]
+    order[many] = some[np.lexsort((high[some], sig[some]))]
+    sig, high = sig[order], high[order]
     different = np.add.reduceat(starts_of(sig, high).astype(np.int64), begins)
     return order, first, sig[begins], np.minimum(different, 255).astype(np.uint8), high[begins]
 
@@ -327,7 +338,7 @@ def answer_live(_: int, bodies: list[bytes]) -> list[bytes]:
     return [np.packbits(out[e - len(p[0]) : e]).tobytes() for e, p in zip(ends, parts, strict=True)]
 
 
-_ROLES = ["kind", "doc_id", "set_key", "n", "sig", "probe", "index", "shingles"]
+_ROLES = ["kind", "row", "doc_id", "set_key", "n", "sig", "probe", "index", "shingles"]
 
 
 def near_sets(exchange: Exchange, shingle: int, num: int, den: int, bits: int) -> DataFrame:
@@ -336,14 +347,15 @@ def near_sets(exchange: Exchange, shingle: int, num: int, den: int, bits: int) -
     buckets = exchange.buckets
 
     def batch(kind: str, size: int, **columns: pa.Array) -> pa.RecordBatch:
-        nothing = {"doc_id": pa.int64(), "set_key": pa.binary(), "n": pa.int64(), "sig": pa.int64(), "probe": pa.bool_(), "index": pa.bool_(), "shingles": pa.binary()}
+        nothing = {"row": pa.int64(), "doc_id": pa.int64(), "set_key": pa.binary(), "n": pa.int64(), "sig": pa.int64(), "probe": pa.bool_(), "index": pa.bool_(), "shingles": pa.binary()}
         return pa.RecordBatch.from_arrays([pa.array([kind] * size, pa.string()), *(columns.get(c, pa.nulls(size, t)) for c, t in nothing.items())], names=_ROLES)
 
     def make(chunk: Chunk, answers: Answers) -> Iterator[pa.RecordBatch]:
         own = Shared(chunk, answers, shingle, bands(num, den, 40), bits, buckets)
         sets = own.sets
         keys = [sets.key(i) for i in range(len(chunk.doc_ids))]
-        yield batch("doc", len(keys), doc_id=chunk.ids, set_key=pa.array(keys, pa.binary()), n=pa.array(sets.sizes))
+        rows = {"row": pa.array(chunk.rows)} if len(chunk.rows) else {}
+        yield batch("doc", len(keys), **rows, doc_id=chunk.ids, set_key=pa.array(keys, pa.binary()), n=pa.array(sets.sizes))
         if not len(own.begins):
             return
         live = bits_back(answers, 1, dealt(own.sig[own.begins], buckets), len(own.begins))[np.cumsum(own.first) - 1]
@@ -354,31 +366,60 @@ def near_sets(exchange: Exchange, shingle: int, num: int, den: int, bits: int) -
         held = np.unique(owner)
         yield batch("set", len(held), set_key=pa.array([keys[i] for i in held], pa.binary()), n=pa.array(sets.sizes[held]), shingles=pa.array([sets.shingles(i).tobytes() for i in held], pa.binary()))
 
-    schema = "kind string, doc_id long, set_key binary, n long, sig long, probe boolean, index boolean, shingles binary"
+    schema = "kind string, row long, doc_id long, set_key binary, n long, sig long, probe boolean, index boolean, shingles binary"
     return exchange.result(make, schema, _ROLES)
 
 
-def linked(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """pairs (a, b) with whether they link, by exact count of their common shingles."""
-    left = sets.select(F.col("set_key").alias("a"), F.col("shingles").alias("sa"))
-    right = sets.select(F.col("set_key").alias("b"), F.col("shingles").alias("sb"))
+def beside(pairs: DataFrame, key: str, other: str, table: DataFrame, prefix: str) -> DataFrame:
+    """pairs with the columns of table whose set_key is pairs' key, each named with the prefix.  A key may be in very
+    many pairs: these are dealt by the key and a share of the other column, and the row of table goes to each share."""
+    salted = pairs.withColumn("share", F.pmod(F.xxhash64(other), F.lit(64)))
+    rows = table.select(F.col("set_key").alias(key), *(F.col(c).alias(prefix + c) for c in table.columns if c != "set_key"))
+    copies = salted.select(key, "share").distinct().join(rows, key)
+    return salted.join(copies, [key, "share"]).drop("share")
+
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def differences(members: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
+    """members (set_key, group, pivot, size) with n, whether the set links with its pivot, pivot_n, and how it differs
+    from it: the shingles of one of both, those of the pivot in a domain of their own."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            link = []
-            for x, y in zip(batch.column("sa"), batch.column("sb"), strict=True):
+            link, delta, n, m = [], [], [], []
+            for x, y in zip(batch.column("shingles"), batch.column("pivot_shingles"), strict=True):
                 x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                both = np.concatenate([x, y])
-                both.sort()
-                common = int((both[1:] == both[:-1]).sum())
-                link.append(den * common >= num * (len(x) + len(y) - common))
-            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(link, pa.bool_())], names=["a", "b", "link"])
+                more, less = np.setdiff1d(x, y, assume_unique=True), np.setdiff1d(y, x, assume_unique=True)
+                common = len(x) - len(more)
+                link.append(den * common >= num * (len(y) + len(more)))
+                delta.append(np.concatenate([more, mix(less ^ _C)]).view(np.int64))
+                n.append(len(x))
+                m.append(len(y))
+            ends = np.cumsum([0, *map(len, delta)])
+            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate([*delta, np.zeros(0, np.int64)])))
+            yield pa.RecordBatch.from_arrays([batch.column("set_key"), batch.column("group"), batch.column("size"), pa.array(n, pa.int64()), pa.array(m, pa.int64()), pa.array(link, pa.bool_()), lists], names=["set_key", "group", "size", "n", "pivot_n", "link", "delta"])
+
+    # A pivot may have very many members: its shingles go to one share for each SHARE of them.
+    salted = members.withColumn("share", F.pmod(F.xxhash64("set_key"), F.ceil(F.col("size") / SHARE)))
+    shingles = sets.select("set_key", "shingles")
+    pivots = salted.select("pivot", "share").distinct().join(shingles.select(F.col("set_key").alias("pivot"), F.col("shingles").alias("pivot_shingles")), "pivot")
+    both = salted.filter("set_key != pivot").join(shingles, "set_key").join(pivots, ["pivot", "share"]).select("set_key", "group", "size", "shingles", "pivot_shingles")
+    return both.mapInArrow(lean(run), "set_key binary, group binary, size long, n long, pivot_n long, link boolean, delta array<long>")
+
+
+def linked(pairs: DataFrame, deltas: DataFrame, num: int, den: int) -> DataFrame:
+    """Those of pairs (a, b), of one group each, that link: by exact count of what is in one of both differences only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            link = []
+            for x, y, n in zip(batch.column("a_delta"), batch.column("b_delta"), batch.column("both").to_pylist(), strict=True):
+                away = len(np.setxor1d(x.values.to_numpy(), y.values.to_numpy(), assume_unique=True))
+                link.append(den * (n - away) >= num * (n + away))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(link, pa.bool_()))
 
-    # A pivot may be in very many pairs: the side of the pairs is dealt by pivot and a share of the other, the pivot's set goes to each share.
-    shares = 8
-    salted = pairs.withColumn("share", F.pmod(F.xxhash64("b"), F.lit(shares)))
-    pivots = left.join(pairs.select("a").distinct(), "a", "left_semi").withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1)))).withColumn("share", F.col("share").cast("long"))
-    return right.join(salted, "b").join(pivots, ["a", "share"]).select("a", "b", "sa", "sb").mapInArrow(count, "a binary, b binary, link boolean")
+    own = deltas.select("set_key", "n", "delta")
+    rows = beside(beside(pairs.select("a", "b"), "b", "a", own, "b_"), "a", "b", own, "a_")
+    return rows.select("a", "b", "a_delta", "b_delta", (F.col("a_n") + F.col("b_n")).alias("both")).mapInArrow(lean(run), "a binary, b binary")
 
 
 def components(edges: DataFrame, ws: Workspace, name: str) -> DataFrame:
@@ -412,71 +453,116 @@ def components(edges: DataFrame, ws: Workspace, name: str) -> DataFrame:
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 
 
-def _relabelled(labels: DataFrame, edges: DataFrame, ws: Workspace, name: str) -> DataFrame:
-    """labels (node, label) after edges between labels."""
-    merged = components(edges, ws, name).select(F.col("node").alias("label"), F.col("label").alias("upper"))
-    return ws.table(labels.join(merged, "label", "left").select("node", F.coalesce("upper", "label").alias("label")), f"{name}-merged")
-
-
-def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of signatures that probe, and have members of different components."""
-    now = members.drop("label").join(labels.select(F.col("node").alias("set_key"), "label"), "set_key")
-    sigs = now.groupBy("sig").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.max("probe").alias("p")).filter("x != y AND p").select("sig")
-    return now.join(sigs, "sig", "left_semi").select("sig", "set_key", "n", "probe", "index", "label")
+def merged(labels: DataFrame, pairs: DataFrame, ws: Workspace, name: str) -> DataFrame:
+    """labels (set_key, label) after pairs (a, b) of sets that link."""
+    of = lambda x: labels.select(F.col("set_key").alias(x), F.col("label").alias(f"label_{x}"))
+    edges = pairs.join(of("a"), "a").join(of("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
+    roots = components(edges, ws, name).select(F.col("node").alias("label"), F.col("label").alias("upper"))
+    return ws.table(labels.join(roots, "label", "left").select("set_key", F.coalesce("upper", "label").alias("label")), f"{name}-merged")
+
+
+def grouped(rows: DataFrame, ws: Workspace) -> DataFrame:
+    """set_key, group, pivot, size: sets that share signatures, directly or by way of others, are a group."""
+    own = rows.filter("kind = 'sig'").select("sig", "set_key")
+    sigs = own.groupBy("sig").agg(F.min("set_key").alias("least"), F.count(F.lit(1)).alias("many"))
+    stars = ws.table(own.join(sigs, "sig").groupBy("set_key", "least").agg(F.sum("many").alias("weight")), "stars")
+    groups = components(stars.select(F.col("set_key").alias("a"), F.col("least").alias("b")), ws, "groups")
+    weights = stars.groupBy("set_key").agg(F.sum("weight").alias("weight"))
+    members = weights.join(groups.select(F.col("node").alias("set_key"), F.col("label").alias("group")), "set_key")
+    best = members.groupBy("group").agg(F.max(F.struct("weight", "set_key")).alias("best"), F.count(F.lit(1)).alias("size"))
+    return ws.table(members.select("set_key", "group").join(best.select("group", F.col("best.set_key").alias("pivot"), "size"), "group"), "grouped")
+
+
+def hard_rows(found: DataFrame, num: int, den: int) -> DataFrame:
+    """The elements of differences by which sets of a group may yet meet: group, element, set_key, n, d (size of the
+    difference), place (from the rarest on), link, least (the smallest difference of a set that does not link with the pivot), width (of a class of sizes)."""
+    bound = lambda both: F.floor(both * F.lit(den - num) / F.lit(den + num)).cast("long")
+    of_group = found.groupBy("group").agg(F.min(F.when(~F.col("link"), F.size("delta"))).alias("least"), F.greatest(F.lit(1), F.floor(bound(2 * F.max("pivot_n")) / CLASSES)).cast("long").alias("width"))
+    some = found.filter("size > 2").join(of_group.filter("least IS NOT NULL"), "group").withColumn("d", F.size("delta").cast("long"))
+    elements = some.select("group", "set_key", F.explode("delta").alias("element"))
+    shared = elements.groupBy("group", "element").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
+    # The difference is as large as its document at most.
+    own = elements.join(shared, ["group", "element"]).groupBy("set_key").agg(F.sort_array(F.collect_list(F.struct("many", "element"))).alias("own"))
+    most = bound(F.col("n") + F.floor(F.col("n") * den / num))
+    out = some.select("set_key", "group", "n", "d", "link", "least", "width", most.alias("most")).join(own, "set_key")
+    alone = F.col("d") - F.size("own")
+    out = out.filter(alone <= F.col("most")).select("*", alone.alias("alone"), F.posexplode("own").alias("at", "entry"))
+    place = F.col("at") + F.col("alone")
+    return out.filter(place <= F.col("most")).select("group", F.col("entry.element").alias("element"), "set_key", "n", "d", place.alias("place"), "link", "least", "width", "most")
+
+
+def meetings(hard: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Who probes and who is in the index, by group, element and class of size: the smaller difference probes for the
+    classes of larger ones with which it can have enough in common.  Only where labels differ."""
+    now = hard.join(labels, "set_key")
+    of_class = lambda d: F.floor(d / F.col("width")).cast("long")
+    low = F.when(F.col("link"), F.greatest("d", "least")).otherwise(F.col("d"))
+    high = F.col("d") + F.col("most") - 2 * F.col("place")
+    probes = now.withColumn("low", low).withColumn("high", high).filter("low <= high")
+    probes = probes.select("group", "element", F.explode(F.sequence(of_class(F.col("low")), of_class(F.col("high")))).alias("class"), "set_key", "n", "d", "place", "link", "label")
+    index = now.filter("NOT link OR d >= least").select("group", "element", of_class(F.col("d")).alias("class"), "set_key", "n", "d", "place", "link", "label")
+    # Of one place, what has two labels.
+    key = ["group", "element", "class"]
+    of_index = index.groupBy(*key).agg(F.min("label").alias("x"), F.max("label").alias("y"))
+    of_probes = probes.groupBy(*key).agg(F.min("label").alias("u"), F.max("label").alias("v"))
+    places = of_index.join(of_probes, key).filter("NOT (x = y AND u = v AND x = u)").select(*key)
+    return probes.join(places, key, "left_semi"), index.join(places, key, "left_semi")
+
+
+def met(probes: DataFrame, index: DataFrame, num: int, den: int) -> DataFrame:
+    """Pairs (a, b) that meet at an element early enough in both, with the number of such."""
+    key = ["group", "element", "class"]
+    other = index.select(*key, *(F.col(c).alias(f"other_{c}") for c in ("set_key", "n", "d", "place", "link", "label")))
+    bound = F.floor((F.col("n") + F.col("other_n")) * (den - num) / (den + num))
+    common = F.greatest(F.lit(1), F.ceil((F.col("d") + F.col("other_d") - bound) / 2))
+    fits = F.lit(den) * F.least("n", "other_n") >= F.lit(num) * F.greatest("n", "other_n")
+    ok = (F.col("label") != F.col("other_label")) & (F.col("d") <= F.col("other_d")) & ~(F.col("link") & F.col("other_link")) & fits & (F.col("place") <= F.col("d") - common) & (F.col("other_place") <= F.col("other_d") - common)
+    rows = probes.join(other, key).filter(ok)
+    return rows.groupBy(F.least("set_key", "other_set_key").alias("a"), F.greatest("set_key", "other_set_key").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
 
 
 def join_components(rows: DataFrame, ws: Workspace, num: int, den: int) -> DataFrame:
-    """node, label over the sets that link with others.  rows: of near_sets()."""
-    sets = rows.filter("kind = 'set'").select("set_key", "n", "shingles")
-    members = rows.filter("kind = 'sig'").groupBy("sig", "set_key").agg(F.first("n").alias("n"), F.max("probe").alias("probe"), F.max("index").alias("index"))
-    labels = sets.select(F.col("set_key").alias("node"), F.col("set_key").alias("label"))
-    members = ws.table(_open(members, labels), "members0")
-    fits = F.lit(den) * F.least("n", "pivot_n") >= F.lit(num) * F.greatest("n", "pivot_n")
-    roles = (F.col("probe") & F.col("pivot_index")) | (F.col("index") & F.col("pivot_probe"))
-    tested: DataFrame | None = None
-    k, many = 0, 1
-    while not members.isEmpty():
-        if k < MERGES:
-            # The first member of every signature is its pivot; each set takes the pivot of most signatures.
-            pivot = members.groupBy("sig").agg(F.min(F.struct("set_key", "label", F.col("n").alias("n"), "probe", "index")).alias("p"))
-            pivots = pivot.select("sig", *(F.col(f"p.{c}").alias(f"pivot_{c}") for c in ("set_key", "label", "n", "probe", "index")))
-        else:
-            # The members of a signature fall into as many shares as the round allows; the first of each is a pivot, and leaves after it.
-            share = F.pmod(F.xxhash64("set_key"), F.lit(many))
-            keys = members.groupBy("sig", share.alias("share")).agg(F.min("set_key").alias("set_key")).drop("share")
-            pivots = ws.table(members.join(keys, ["sig", "set_key"]).select("sig", *(F.col(c).alias(f"pivot_{c}") for c in ("set_key", "label", "n", "probe", "index"))), f"pivots{k}")
-        met = members.join(pivots, "sig").filter((F.col("label") != F.col("pivot_label")) & fits & roles)
-        pairs = met.groupBy(F.least("set_key", "pivot_set_key").alias("a"), F.greatest("set_key", "pivot_set_key").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        if k < MERGES:
+    """set_key, label over the sets that may link with others.  rows: of near_sets()."""
+    sets = rows.filter("kind = 'set'")
+    members = grouped(rows, ws)
+    found = ws.table(differences(members, sets, num, den), "differences")
+    of_pivots = members.select(F.col("pivot").alias("set_key"), F.col("pivot").alias("label")).distinct()
+    labels = found.join(members.select("set_key", "pivot"), "set_key").select("set_key", F.when(F.col("link"), F.col("pivot")).otherwise(F.col("set_key")).alias("label"))
+    labels = ws.table(labels.unionByName(of_pivots), "labels")
+    hard = ws.table(hard_rows(found, num, den), "hard")
+    if hard.isEmpty():
+        return labels
+    for name in ("best", "all"):
+        probes, index = meetings(hard, labels)
+        if name == "best":  # each with the least at every place, and the best of these
+            index = index.groupBy("group", "element", "class").agg(F.min(F.struct("set_key", "n", "d", "place", "link", "label")).alias("p")).select("group", "element", "class", "p.*")
+        pairs = met(probes, index, num, den)
+        if name == "best":
             pairs = pairs.groupBy("b").agg(F.max(F.struct("shared", "a")).alias("best")).select(F.col("best.a").alias("a"), "b")
-        found = ws.table(linked(pairs.select("a", "b"), sets, num, den), f"tested{k}")
-        both = found.filter("link").select("a", "b")
-        of = lambda x: labels.select(F.col("node").alias(x), F.col("label").alias(f"label_{x}"))  # noqa: B023, E731
-        edges = both.join(of("a"), "a").join(of("b"), "b").select(F.col("label_a").alias("a"), F.col("label_b").alias("b"))
-        labels = _relabelled(labels, edges, ws, f"merge{k}")
-        tested = found.select("a", "b") if tested is None else tested.unionByName(found.select("a", "b"))
-        left = members if k < MERGES else members.join(pivots.select("sig", F.col("pivot_set_key").alias("set_key")), ["sig", "set_key"], "left_anti")
-        k += 1
-        many = 1 if k <= MERGES else many * 4
-        members = ws.table(_open(left, labels), f"members{k}")
+        both = ws.table(linked(pairs, found, num, den), f"linked-{name}")
+        labels = merged(labels, both, ws, f"merge-{name}")
     return labels
 
 
-def jaccard_join(docs: DataFrame, ws: Workspace, shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
-    """One row for each document: doc_id, n_shingles, component_id."""
-    exchange = Exchange(docs, ws)
+def linked_documents(docs: DataFrame, ws: Workspace, shingle: int, numerator: int, denominator: int, row: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The documents: row (if docs has a column of that name), doc_id, set_key, n, run; and for each set that may link, its label."""
+    exchange = Exchange(docs, ws, row=row)
     bits = min(56, hash_bits(exchange.n_bytes // 8) + 8)
     exchange.round(ask_signatures(shingle, numerator, denominator, bits), answer_signatures)
     exchange.round(ask_live(shingle, numerator, denominator, bits), answer_live)
     rows = ws.table(near_sets(exchange, shingle, numerator, denominator, bits), "near")
     exchange.close()
     labels = join_components(rows, ws, numerator, denominator)
-    members = rows.filter("kind = 'doc'").select("doc_id", "set_key", "n", F.pmod(F.xxhash64("doc_id"), F.lit(RUNS)).cast("int").alias("run"))
+    own = F.xxhash64("doc_id" if row is None else "row")
+    return rows.filter("kind = 'doc'").select("row", "doc_id", "set_key", "n", F.pmod(own, F.lit(RUNS)).cast("int").alias("run")), labels
+
+
+def jaccard_join(docs: DataFrame, ws: Workspace, shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+    """One row for each document: doc_id, n_shingles, component_id."""
+    members, labels = linked_documents(docs, ws, shingle, numerator, denominator)
     # Down to the documents by (set, run), so that a set which a third of all documents have is spread.
     runs = members.filter("n > 0").groupBy("set_key", "run").agg(F.min("doc_id").alias("least"))
-    by_set = runs.groupBy("set_key").agg(F.min("least").alias("least")).join(labels.withColumnRenamed("node", "set_key"), "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
+    by_set = runs.groupBy("set_key").agg(F.min("least").alias("least")).join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))
     by_set = ws.table(by_set, "by_set")
     least = by_set.groupBy("label").agg(F.min("least").alias("component_id"))
     of_set = by_set.join(least, "label").select("set_key", "component_id")
@@ -489,8 +575,13 @@ def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document of smallest doc_id of each component, with all its columns.  Rows without doc_id stay."""
-    found = jaccard_join(docs, Workspace(spark, "near"))
-    gone = one_fits(docs.columns, "_gone")
-    drop = found.filter("doc_id != component_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(drop, docs["doc_id"] == drop[gone], "left_anti").select(*docs.columns)
+    """Keeps one row of each component, with all its columns: that of smallest doc_id (rows without one come last; of
+    equal ones, the first).  Rows without words are each a component of their own."""
+    ws, row = Workspace(spark, "near"), one_fits(docs.columns, "_row")
+    rows = numbered(docs, ws, row)
+    members, labels = linked_documents(rows, ws, SHINGLE, NUMERATOR, DENOMINATOR, row)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")).alias("first")
+    sets = members.filter("n > 0").groupBy("set_key", "run").agg(first).groupBy("set_key").agg(F.min("first").alias("first"))
+    kept = sets.join(labels, "set_key", "left").groupBy(F.coalesce("label", "set_key")).agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
+    kept = kept.unionByName(members.filter("n = 0").select(F.col("row").alias(row)))
+    return rows.join(kept, row, "left_semi").select(*docs.columns)

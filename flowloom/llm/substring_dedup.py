@@ -15,8 +15,6 @@ texts of fewer than WINDOW words lose nothing.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import lru_cache
-from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -24,42 +22,69 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Workspace, documents, mix, window_hashes
+from ._common import Workspace, documents, gathered, mix, window_hashes
 from ._exchange import Answers, Chunk, Exchange, bits_back, deltas, dealt, frame, hash_bits, small_ids, starts_of, undeltas, unframe
 
 WINDOW = 20
 BLOCK = 10
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, of so many words at most at a time."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 600_000:
-            self.clear()
-        h = self[word] = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-@lru_cache(maxsize=1)
-def word_hashes() -> WordHashes:
-    return WordHashes()
-
-
-def split(chunk: Chunk) -> list[list[bytes]]:
-    """The words of each document.  bytes.split() parts at the six characters of the class, and at no other."""
-    data = chunk.data.tobytes()
-    return [data[a:b].split() for a, b in zip(chunk.starts[:-1], chunk.starts[1:], strict=True)]
+#: What each byte adds to a word's hash at each of its first TABLED places; longer words are hashed one by one.
+TABLED = 64
+_TABLE = mix(np.arange(1, 256 * TABLED + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_IS_SPACE = np.zeros(256, bool)
+_IS_SPACE[[32, *range(9, 14)]] = True
+_LENGTH = np.uint64(0xA24BAED4963EE407)
 
 
 class Words:
-    def __init__(self, words: list[list[bytes]]):
-        counts = np.fromiter(map(len, words), np.int64, len(words))
-        self.starts = np.concatenate([[0], np.cumsum(counts)])
-        get = word_hashes().__getitem__
-        self.symbols = np.fromiter((get(w) for x in words for w in x), np.uint64, int(self.starts[-1]))
-        self.doc = np.repeat(np.arange(len(words)), counts)
-        self.left = np.repeat(self.starts[1:], counts) - np.arange(len(self.symbols))  # words from here to the end of the document
+    """The words of texts that lie one behind the other: where each begins and ends, its hash of 64 bits, its document,
+    and how many words follow in it, itself included."""
+
+    def __init__(self, data: np.ndarray, starts: np.ndarray):
+        n = len(data)
+        inside = ~_IS_SPACE[data]
+        edge = np.zeros(n + 1, bool)
+        edge[starts] = True
+        first, last = inside.copy(), inside.copy()
+        first[1:] &= ~inside[:-1] | edge[1:n]
+        last[:-1] &= ~inside[1:] | edge[1:n]
+        self.data = data
+        self.begins, self.ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+        self.starts = np.searchsorted(self.begins, starts)
+        counts = np.diff(self.starts)
+        self.doc = np.repeat(np.arange(len(counts)), counts)
+        self.left = np.repeat(self.starts[1:], counts) - np.arange(len(self.begins))
+        self.symbols = self._hashes(first, inside)
+
+    def _hashes(self, first: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        if not len(self.begins):
+            return np.zeros(0, np.uint64)
+        lengths = self.ends - self.begins
+        at = np.flatnonzero(inside)
+        place = np.arange(len(at)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        np.minimum(place, TABLED - 1, out=place)
+        place <<= 8
+        place |= self.data[at]
+        sums = np.cumsum(_TABLE[place])
+        upto = sums[np.cumsum(lengths) - 1]
+        hashes = mix(np.diff(upto, prepend=np.uint64(0)) + lengths.astype(np.uint64) * _LENGTH)
+        for i in np.flatnonzero(lengths > TABLED):
+            hashes[i] = xxhash.xxh3_64_intdigest(self.data[self.begins[i] : self.ends[i]].tobytes())
+        return hashes
+
+    def joined(self, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of the kept words of each document joined by one blank, and where each document begins."""
+        some = np.flatnonzero(keep)
+        lengths = self.ends[some] - self.begins[some] + 1
+        out = gathered(np.append(self.data, np.uint8(32)), self.begins[some], lengths)
+        ends = np.cumsum(lengths)
+        out[ends - 1] = 32
+        docs = np.searchsorted(some, self.starts)  # of the kept words, the first of each document
+        bounds = np.concatenate([[0], ends])[docs]
+        last = np.flatnonzero(np.diff(docs) > 0)
+        out = np.delete(out, bounds[last + 1] - 1)
+        return out, bounds - np.concatenate([[0], np.cumsum(np.diff(docs) > 0)])
 
     def windows(self, length: int) -> tuple[np.ndarray, np.ndarray]:
         """Where windows inside one document start, and their hashes."""
@@ -99,7 +124,7 @@ def _windows(words: Words, doc_ids: np.ndarray, hit: np.ndarray, window: int, bl
 
 def ask_blocks(block: int, bits: int):
     def ask(chunk: Chunk, _: Answers, buckets: int) -> Iterator[tuple[int, bytes]]:
-        _, _, hashes, is_block, many = _probes(Words(split(chunk)), block, bits)
+        _, _, hashes, is_block, many = _probes(Words(chunk.data, chunk.starts), block, bits)
         flags = is_block.astype(np.uint8) + 2 * many.astype(np.uint8)
         for bucket, where in dealt(hashes, buckets):
             yield bucket, frame(deltas(hashes[where] >> np.uint64(64 - bits)), flags[where])
@@ -131,7 +156,7 @@ def _hits(words: Words, answers: Answers, block: int, bits: int, buckets: int) -
 
 def ask_windows(window: int, block: int, bits: int):
     def ask(chunk: Chunk, answers: Answers, buckets: int) -> Iterator[tuple[int, bytes]]:
-        words = Words(split(chunk))
+        words = Words(chunk.data, chunk.starts)
         hashes, check, ids, _, _ = _windows(words, chunk.doc_ids, _hits(words, answers, block, bits, buckets), window, block)
         begins = np.flatnonzero(starts_of(hashes, check))
         hashes, check, ids = hashes[begins], check[begins], ids[begins]
@@ -189,8 +214,7 @@ def substring_dedup(docs: DataFrame, ws: Workspace, window: int = WINDOW) -> Dat
     exchange.round(ask_windows(window, block, bits), answer_windows)
 
     def make(chunk: Chunk, answers: Answers) -> Iterator[pa.RecordBatch]:
-        lists = split(chunk)
-        words = Words(lists)
+        words, n = Words(chunk.data, chunk.starts), len(chunk.doc_ids)
         hashes, check, ids, rows, at = _windows(words, chunk.doc_ids, _hits(words, answers, block, bits, buckets), window, block)
         gone = np.zeros(len(words.symbols), bool)
         if len(at):
@@ -199,10 +223,11 @@ def substring_dedup(docs: DataFrame, ws: Workspace, window: int = WINDOW) -> Dat
             smaller = bits_back(answers, 1, dealt(hashes[begins], buckets), len(begins))
             again = np.concatenate([[False], (group[1:] == group[:-1]) & (rows[1:] == rows[:-1])])
             gone = covered(len(gone), at[smaller[group] | (ids > ids[begins][group]) | again], window)
-        removed = np.add.reduceat(np.append(gone, False).astype(np.int64), words.starts[:-1]) * (np.diff(words.starts) > 0) if len(lists) else np.zeros(0, np.int64)
-        kept = [b" ".join(compress(x, ~gone[a : a + len(x)]) if r else x) for x, a, r in zip(lists, words.starts[:-1], removed, strict=True)]
-        spans = span_lists(*runs_of(gone, words.doc), words.doc, words.starts, len(lists))
-        columns = [chunk.ids, pa.array(np.diff(words.starts)), pa.array(removed, pa.int64()), spans, pa.array(kept, pa.binary()).cast(pa.string())]
+        removed = np.bincount(words.doc[gone], minlength=n)
+        kept, bounds = words.joined(~gone)
+        kept = pa.LargeBinaryArray.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(bounds.astype(np.int64).tobytes()), pa.py_buffer(kept.tobytes())]).cast(pa.binary()).cast(pa.string())
+        spans = span_lists(*runs_of(gone, words.doc), words.doc, words.starts, n)
+        columns = [chunk.ids, pa.array(np.diff(words.starts)), pa.array(removed, pa.int64()), spans, kept]
         yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_words", "n_removed", "spans", "kept"])
 
     return exchange.result(make, "doc_id long, n_words long, n_removed long, spans array<struct<begin: long, end: long>>, kept string", ["doc_id", "n_words", "n_removed", "spans", "kept"])

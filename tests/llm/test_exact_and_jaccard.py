@@ -49,6 +49,16 @@ def test_native_plan(spark, docs):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+def test_rounds_merge_sorted_runs(docs):
+    """A round is one exchange by run and range, one sort, and an aggregation in that order."""
+    rows = exact_dedup.digests(docs, 4).selectExpr("*", "ascii(digest) % 3 AS range", "1L AS size")
+    key = ["digest", "length", "check"]
+    first = exact_dedup.of_run(rows, key)
+    plan = exact_dedup.merged(exact_dedup.merged(first, key, 2), key, 2)._jdf.queryExecution().executedPlan().toString()
+    exchanges = re.findall(r"Exchange (\w+)\(([^)]*)", plan)
+    assert len(exchanges) == 3 and [x.count("digest") for _, x in exchanges] == [0, 0, 1]
+
+
 def brute_components(rows, num=85, den=100):
     lower = {c: c + 32 for c in range(65, 91)}
     sets = []
@@ -99,6 +109,26 @@ def test_jaccard(spark, docs, rows, ws):
     assert Counter(map(tuple, got)) == brute_components(rows + [(i + 1000, t) for i, t in more])
 
 
+def test_jaccard_groups_around_a_missing_middle(spark, ws):
+    """Copies of a text with edits of their own: many share most signatures, few link, some only by way of others."""
+    rng = random.Random(8)
+    rows = []
+    for size, copies in ((60, 40), (147, 60), (300, 30)):
+        base = [f"w{rng.randrange(10**6)}" for _ in range(size)]
+        styles = [[(rng.randrange(size), f"s{rng.randrange(10**6)}") for _ in range(3)] for _ in range(3)]
+        for _ in range(copies):
+            words = list(base)
+            for k, w in rng.choice([[], *styles]):
+                words[k] = w
+            for _ in range(rng.choice([1, 1, 2, 3, 4, 6])):
+                words[rng.randrange(size)] = f"v{rng.randrange(40)}" if rng.random() < 0.5 else f"u{rng.randrange(10**6)}"
+            rows.append((len(rows), " ".join(words)))
+    rng.shuffle(rows)
+    got = Counter(map(tuple, jaccard_join(frame(spark, rows), ws).collect()))
+    want = brute_components(rows)
+    assert got == want and 20 < len({c for _, _, c in want}) < 120
+
+
 def test_jaccard_empty(empty, ws):
     assert jaccard_join(empty, ws).collect() == []
 
@@ -111,6 +141,14 @@ def test_jaccard_stage(spark, ws):
     assert Counter(r.doc_id for r in kept.collect() if r.doc_id is not None) == Counter({i: 1 for i in want})
 
 
+def test_jaccard_stage_drops_rows(spark):
+    """Not doc_ids: they may be missing or repeated."""
+    base = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, base), (5, base + " more"), (5, "wholly different"), (None, base + " less"), (None, "none of these"), (7, None), (7, None), (3, "x y z"), (3, "x y z"), (8, base.upper())]
+    kept = near_dedup_stage(spark, frame(spark, rows), "")
+    assert sorted((str(r.doc_id), r.text or "") for r in kept.collect()) == sorted([("1", base), ("5", "wholly different"), ("None", "none of these"), ("7", ""), ("7", ""), ("3", "x y z")])
+
+
 def test_bands_hold_linked_sizes():
     b = Bands(85, 100, 5000)
     for n in range(1, 3000, 7):
