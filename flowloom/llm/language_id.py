@@ -11,7 +11,9 @@ languages and suffixes of all rows.  Text whose trigrams are in no declared lang
 
 Rejected are texts without a trigram of letters, and those whose best posterior is under LEAST.  Null text counts as
 empty; a null declared language, host or suffix is no evidence, and such rows are not learnt from.  With nothing
-declared anywhere there are no languages, and all is rejected.  Every declared language is one of the model's, however
+declared anywhere there are no languages, and all is rejected.  Rows of one doc_id, and repeated rows, are each judged
+by themselves; of equal posteriors the language that sorts first is the answer; texts of any length are read whole.
+An empty table gives none; other columns, whatever their names, pass through language_stage.  Every declared language is one of the model's, however
 rare; the model is a table of GRAMS cells for each, whatever the size of the corpus, in blocks of BLOCK languages.
 """
 
@@ -27,7 +29,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Workspace, documents, one_fits, slices, utf8
+from ._common import Workspace, documents, lean, numbered, one_fits, slices, utf8
 
 GRAMS = 1 << 14
 STRENGTH = 64
@@ -86,7 +88,7 @@ def gram_counts(docs: DataFrame) -> DataFrame:
                 held[lang] = held.get(lang, 0) + np.bincount(own, minlength=GRAMS)
         yield from rows()
 
-    return docs.select("text", "lang").filter("lang IS NOT NULL AND lang != ''").mapInArrow(run, "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
+    return docs.select("text", "lang").filter("lang IS NOT NULL AND lang != ''").mapInArrow(lean(run), "lang string, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n"))
 
 
 def text_model(docs: DataFrame, ws: Workspace, block: int = BLOCK) -> tuple[list[str], list[Broadcast]]:
@@ -133,7 +135,7 @@ def text_evidence(docs: DataFrame, langs: list[str], model: list[Broadcast], kee
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     schema = ", ".join([*(f"`{c}` {kinds[c]}" for c in keep), "n_grams long, likelihood array<double>"])
-    return docs.select(*keep, "text").mapInArrow(run, schema)
+    return docs.select(*keep, "text").mapInArrow(lean(run), schema)
 
 
 def constants(values: list, kind: str) -> Column:
@@ -227,8 +229,8 @@ def pages_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops the documents whose language is not recognised; rows without doc_id stay."""
-    found = identify(docs, Workspace(spark, "lang"), **source_parts(docs["source"]))
-    gone = one_fits(docs.columns, "_gone")
-    drop = found.filter("NOT kept").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(drop, docs["doc_id"] == drop[gone], "left_anti").select(*docs.columns)
+    """Drops the rows whose language is not recognised, each by itself: rows may share a doc_id or have none."""
+    ws, row = Workspace(spark, "lang"), one_fits(docs.columns, "_row")
+    rows = numbered(docs, ws, row)
+    kept = identify(rows, ws, **source_parts(rows["source"]), key=row).filter("kept").select(row)
+    return rows.join(kept, row, "left_semi").select(*docs.columns)

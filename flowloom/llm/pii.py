@@ -8,7 +8,15 @@ numbers or capitals: where the longest match is not valid, shorter ends at its s
 depends on the key alone, so equal values have equal pseudonyms in all documents, and different ones different.
 
 The network has ROUNDS rounds over the smallest even number of bits that holds the range, and walks on until it is
-back in the range.  A null text stays null with nothing found; texts of any length are read whole.
+back in the range.
+
+Bounds: dates are those of 1900 to 2099; a secret has 8 characters or more, or 5 of which one is a digit; of e-mail
+addresses the name is permuted, the same for upper and lower case, and the domain stays; of numbers of countries other
+than +1 the first three digits stay.
+
+A null text stays null with nothing found; texts of any length are read whole, in time that grows with their length.
+Every row is judged by itself, so that repeated rows, and rows that share a doc_id or have none, all come back; an
+empty table gives none.  Only doc_id and text are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -22,10 +30,11 @@ from functools import lru_cache
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ._common import documents, slices
+from ._common import documents, lean, slices
 
 ROUNDS = 10
-#: The key in the queries of this repository; a deployment passes its own.
+#: The setting that holds the key, and what counts where it is unset; a deployment sets its own.
+KEY_SETTING = "spark.flowloom.pii.key"
 KEY = b"flowloom-demonstration-key"
 
 
@@ -204,7 +213,8 @@ def date(found: str, key: bytes) -> str | None:
 
 def email(found: str, key: bytes) -> str | None:
     name, _, domain = found.rpartition("@")
-    return mixed(name, key, "email@" + domain.lower()) + "@" + domain
+    new = mixed(name.lower(), key, "email@" + domain.lower()) if len(name.lower()) == len(name) else mixed(name, key, "email@" + domain.lower())
+    return "".join(b.upper() if a.isupper() else b for a, b in zip(name, new, strict=True)) + "@" + domain
 
 
 def secret(found: str, key: bytes) -> str | None:
@@ -213,10 +223,9 @@ def secret(found: str, key: bytes) -> str | None:
     return mixed(found, key, "secret")
 
 
-#: In order of preference where two begin at one place.
+#: In order of preference where two begin at one place; e-mail addresses come second.
 _KINDS = (
-    ("secret", secret, r"(?i:\b(?:api[_-]?key|secret|token|passw(?:or)?d|pwd|access[_-]?key)\b)\s*[:=]\s*[\"']?(?P<secret>[A-Za-z0-9+/_\-]{8,})"),
-    ("email", email, r"(?P<email>[A-Za-z0-9](?:[\w.+-]*[A-Za-z0-9_+-])?@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,})"),
+    ("secret", secret, r"(?i:\b(?:api[_-]?key|secret|token|passw(?:or)?d|pwd|access[_-]?key)\b)\s*[:=]\s*[\"']?(?P<secret>[A-Za-z0-9+/_\-]{8,}|(?=[A-Za-z]*[0-9])[A-Za-z0-9+/_\-]{5,})"),
     ("iban", iban, r"(?P<iban>\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b)"),
     ("date", date, r"(?P<date>(?<![\d.])(?:\d{4}-\d{2}-\d{2}|\d{4}/\d{2}/\d{2}|\d{2}[./-]\d{2}[./-]\d{4})(?![\d]))"),
     ("ipv4", address, r"(?P<ipv4>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))"),
@@ -226,20 +235,52 @@ _KINDS = (
 )
 _ANY = re.compile("|".join(pattern for _, _, pattern in _KINDS))
 _MAY = re.compile("[0-9@]|(?i:token|secret|passw|pwd|key)")
-_BY_KIND = {name: f for name, f, _ in _KINDS}
+_BY_KIND = {name: f for name, f, _ in _KINDS} | {"email": email}
+_DOMAIN = re.compile(r"@[A-Za-z0-9](?:[A-Za-z0-9-]*\.)+[A-Za-z]{2,}")
+_NAME_END = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_+-")
 _SHORTER = {"card": card_end, "iban": iban_end}
 _CARD = re.compile(_KINDS[-1][2])
 
 
+def mails(text: str) -> Iterator[tuple[int, int, int]]:
+    """For each e-mail address, from its sign on: where the characters before the sign that may be its name begin, the sign, the end."""
+    sign = text.find("@")
+    while sign >= 0:
+        if sign and text[sign - 1] in _NAME_END and (m := _DOMAIN.match(text, sign)):
+            begin = sign
+            while begin and (text[begin - 1].isalnum() or text[begin - 1] in "_.+-"):
+                begin -= 1
+            yield begin, sign, m.end()
+        sign = text.find("@", sign + 1)
+
+
+def name_begin(text: str, begin: int, sign: int) -> int:
+    """Where the name of an address begins, from begin on; the sign if nowhere."""
+    while begin < sign and not (text[begin].isascii() and text[begin].isalnum()):
+        begin += 1
+    return begin
+
+
 def pseudonymised(text: str, key: bytes = KEY) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and the kind and place in the old text of each that was found."""
     if not _MAY.search(text):
         return text, []
     out, found, last, at = [], [], 0, 0
-    while m := _ANY.search(text, at):
-        kind = m.lastgroup
-        begin, end = m.span(kind)
-        new = _BY_KIND[kind](m[kind], key)
+    addresses = mails(text)
+    mail, m = next(addresses, None), _ANY.search(text)
+    while True:
+        if m and m.start() < at:
+            m = _ANY.search(text, at)
+        while mail and (start := name_begin(text, max(at, mail[0]), mail[1])) >= mail[1]:
+            mail = next(addresses, None)
+        if not m and not mail:
+            break
+        if mail and (not m or start < m.start() or start == m.start() and m.lastgroup != "secret"):
+            kind, begin, end = "email", start, mail[2]
+        else:
+            kind = m.lastgroup
+            begin, end = m.span(kind)
+        new = _BY_KIND[kind](text[begin:end], key)
         if new is None and kind == "phone" and (c := _CARD.match(text, begin)):
             kind, end = "card", c.end()
             new = card(c[0], key)
@@ -271,8 +312,9 @@ def pseudonyms(docs: DataFrame, key: bytes = KEY) -> DataFrame:
             spans = pa.array([[{"begin": a, "end": b} for _, a, b in x] for x in found], pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())])))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([len(x) for x in found], pa.int64()), kinds, spans, pa.array(out, pa.string())], names=["doc_id", "n_found", "kinds", "spans", "text"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n_found long, kinds array<string>, spans array<struct<begin: long, end: long>>, text string")
+    return docs.select("doc_id", "text").mapInArrow(lean(run), "doc_id long, n_found long, kinds array<string>, spans array<struct<begin: long, end: long>>, text string")
 
 
 def op2_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pseudonyms(documents(spark, sf_dir))
+    key = spark.conf.get(KEY_SETTING, None)
+    return pseudonyms(documents(spark, sf_dir), key.encode() if key else KEY)

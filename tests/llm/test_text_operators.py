@@ -2,6 +2,8 @@
 
 import random
 import re
+import time
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from flowloom.llm import decontamination as dc
 from flowloom.llm import pii
+from flowloom.llm._common import Workspace
 from flowloom.llm.language_id import identify, language_stage, op8_language_id, pages_language_id, source_parts
 from flowloom.llm.quality import N_FEATURES, fit, op4_quality, scored, train
 from tests.llm.conftest import frame
@@ -60,23 +63,39 @@ def test_lemma_and_alignment_find_what_the_full_table_finds():
         assert best == want if want <= e else best > e
 
 
-def test_leaks(spark, docs, empty, tmp_path):
+def test_leaks(spark, docs, empty, tmp_path, ws, monkeypatch):
     rng = random.Random(2)
     items = [(k, prose(rng, 40)) for k in range(6)] + [(6, "short"), (7, None), (None, prose(rng, 40)), (8, "")]
     benchmark = spark.createDataFrame(items, "item_id long, text string")
     rows = [(100, prose(rng, 60)), (101, prose(rng, 30) + "\n" + items[0][1].upper().replace(" ", "\n ") + " " + prose(rng, 9)), (102, edited(rng, items[1][1], 3)), (103, items[2][1][:150] + prose(rng, 30)), (104, None), (105, ""), (None, items[3][1]), (106, items[8][1])]
     table = frame(spark, rows)
     for block in (dc.BLOCK_CHARS, 300):
-        found = {(r.doc_id, r.item_id) for r in dc.contaminated(table, benchmark, block).collect()}
+        found = {(r.doc_id, r.item_id) for r in dc.contaminated(table, benchmark, Workspace(spark, "test"), block).collect()}
         assert found == {(101, 0), (102, 1), (103, 2), (None, 3), (106, None)}
-    assert dc.contaminated(empty, benchmark).collect() == []
-    assert dc.contaminated(table, benchmark.limit(0)).collect() == []
+    assert dc.contaminated(empty, benchmark, ws).collect() == []
+    assert dc.contaminated(table, benchmark.limit(0), ws).collect() == []
     benchmark.write.parquet(str(tmp_path / "benchmark.parquet"))
-    kept = dc.decontamination_stage(spark, table, str(tmp_path))
-    assert kept.columns == table.columns and {r.doc_id for r in kept.collect()} == {100, 104, 105, None}
+    twice = table.unionByName(frame(spark, [(None, "without a number"), (101, "clean, of a repeated number"), (100, None)]))
+    for block in (dc.BLOCK_CHARS, 300):
+        monkeypatch.setattr(dc, "BLOCK_CHARS", block)
+        kept = dc.decontamination_stage(spark, twice, str(tmp_path))
+        assert kept.columns == table.columns and sorted((str(r.doc_id), (r.text or "")[:9]) for r in kept.collect()) == sorted([("100", rows[0][1][:9]), ("104", ""), ("105", ""), ("None", "without a"), ("101", "clean, of"), ("100", "")])
+    assert dc.decontamination_stage(spark, empty, str(tmp_path)).collect() == []
+
+
+def test_a_stem_that_all_items_share(monkeypatch):
+    """Postings are held some units at a time, with the same result."""
+    rng = random.Random(3)
+    stem = prose(rng, 8)
+    items = [(k, stem + " " + prose(rng, 30)) for k in range(60)]
+    docs = [" ".join([stem] * 40), prose(rng, 30) + items[7][1] + prose(rng, 9) + items[8][1][30:140], stem + prose(rng, 50)]
+    search = dc.Search(items, dc.Q, dc.PASSAGE, dc.BUDGET)
+    whole = search(docs)
+    monkeypatch.setattr(dc, "POSTINGS", 500)
+    assert search(docs) == whole and {(1, 7), (1, 8)} <= set(whole)
 
 
-def test_leaks_at_any_offset(spark):
+def test_leaks_at_any_offset(spark, ws):
     rng = random.Random(12)
     item = dc.normal(prose(rng, 80))
     benchmark = spark.createDataFrame([(1, item), (2, prose(rng, 80)), (3, "Seven\nYaks")], "item_id long, text string")
@@ -84,7 +103,7 @@ def test_leaks_at_any_offset(spark):
     rows += [(1000 + k, "qq zz " + edited(rng, item[k : k + 100], 6) + " qq") for k in range(0, len(item) - 100, 29)]
     rows += [(2000, "qq " + item[30:90] + " zz"), (2001, "the seven yaks"), (2002, "seven oxen, yaks")]
     want = {(i, 1) for i, t in rows if fewest_edits(dc.normal(t), item[i % 1000 : i % 1000 + 100]) <= 6 and i < 2000} | {(2001, 3)}
-    got = dc.contaminated(frame(spark, rows), benchmark).collect()
+    got = dc.contaminated(frame(spark, rows), benchmark, ws).collect()
     assert {(r.doc_id, r.item_id) for r in got} == want and len(want) == len(rows) - 2
     assert all(r.edits <= 6 and r.begin < r.end and r.n_passages >= 1 for r in got)
 
@@ -119,6 +138,11 @@ def test_language_edges(spark, docs, empty, ws):
     got = {r.doc_id: r for r in identify(docs, ws, **source_parts(docs["source"])).collect()}
     assert not got[501].kept and not got[502].kept and not got[500].kept and got[506].kept
     assert language_stage(spark, empty, "").collect() == []
+    table = docs.unionByName(frame(spark, [(503, None), (None, "123 456"), (None, "alpha beta gamma")]))
+    stay = language_stage(spark, table, "")
+    assert stay.columns == docs.columns
+    texts = [r.text for r in stay.collect()]
+    assert None not in texts and "123 456" not in texts and "alpha beta gamma" in texts and "one" in texts
     nothing = docs.withColumn("lang", F.lit(None).cast("string"))
     assert not any(r.kept for r in identify(nothing, ws, **source_parts(nothing["source"])).collect())
 
@@ -249,6 +273,55 @@ def test_formats_link_one_number():
     assert digits("4539 1488 0343 6467") == digits("4539-1488-0343-6467") == digits("4539148803436467")
 
 
+def test_letter_case_links():
+    new = [pii.pseudonymised(f"to {x}@x.com")[0] for x in ("Bob.Lee", "bob.lee", "BOB.LEE")]
+    assert len({x.lower() for x in new}) == 1 and new[0].split()[1][0].isupper() and new[1] == new[1].lower()
+
+
+def test_short_secrets_and_bounds():
+    assert pii.pseudonymised("password: hunter2")[1] == [("secret", 10, 17)]
+    assert pii.pseudonymised("token: the")[1] == [] and pii.pseudonymised("born 1899-05-05")[1] == []
+
+
+@pytest.mark.parametrize("text", ["0123456789abcdef" * 65536, "abcdefghij" * 100_000, "a." * 400_000, "a@" * 300_000, "x-" * 300_000 + "@"])
+def test_long_words_take_linear_time(text):
+    began = time.perf_counter()
+    assert pii.pseudonymised(text) == (text, []) and time.perf_counter() - began < 20
+
+
+def test_pseudonyms_of_documents_by_brute_force(spark, sf):
+    """Every value that plain patterns find is taken; nothing but the found places changes; equal values, and only they, are equal after."""
+    plain = {
+        "email": r"[A-Za-z0-9][A-Za-z0-9.+_-]*@[A-Za-z0-9][A-Za-z0-9-]*(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
+        "date": r"(?<![\d.])(?:19|20)\d\d-(?:0[1-9]|1[0-2])-(?:0[1-9]|1\d|2[0-8])(?!\d)",
+        "ssn": r"(?<![\d-])(?!000|666|9)\d{3}-(?!00)\d\d-(?!0000)\d{4}(?![\d-])",
+    }
+    old = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    extra = [(-1, "mail Ann.Lee@x.org, ann.lee@x.org; 2001-02-03 and 123-45-6789.", 9), (-2, "again ann.lee@x.org on 2001-02-03: 123-45-6789", 3)]
+    old |= {i: t for i, t, _ in extra}
+    got = pii.pseudonyms(spark.createDataFrame([(i, t) for i, t in old.items()], "doc_id long, text string")).collect()
+    assert len(got) == len(old)
+    to, back, seen = {}, {}, Counter()
+    for r in got:
+        text, new, at, to_here = old[r.doc_id], r.text, 0, 0
+        assert r.n_found == len(r.spans) == len(r.kinds)
+        for kind, (a, b) in zip(r.kinds, r.spans, strict=True):
+            here = to_here + a - at
+            assert text[at:a] == new[to_here:here] and at <= a < b
+            to_here = here + (len(re.match(r"\d+(?:\.\d+){3}", new[here:])[0]) if kind == "ipv4" else b - a)
+            x, y = (re.sub(r"[\W_]", "", v).lower() if kind in ("card", "iban", "ssn") else v.lower() if kind == "email" else v for v in (text[a:b], new[here:to_here]))
+            assert to.setdefault((kind, x), y) == y and back.setdefault((kind, y), x) == x
+            at, seen[kind] = b, seen[kind] + 1
+        assert text[at:] == new[to_here:]
+        taken = [(a, b) for a, b in r.spans]
+        for kind, pattern in plain.items():
+            for m in re.finditer(pattern, text):
+                assert any(a < m.end() and m.start() < b for a, b in taken), (kind, m[0])
+        for m in re.finditer(r"(?<!\w)\d{16}(?!\w)", text):
+            assert pii.luhn(m[0]) or m[0][0] == "0" or len(set(m[0])) == 1 or any(a <= m.start() and m.end() <= b for a, b in taken)
+    assert seen["email"] >= 3 and seen["date"] >= 2 and seen["ssn"] >= 2
+
+
 def test_pseudonym_table(docs, empty, rows):
     got = pii.pseudonyms(docs).collect()
     assert sorted((str(r.doc_id), r.n_found, r.text or "") for r in got) == sorted((str(i), 0, t or "") for i, t in rows)
