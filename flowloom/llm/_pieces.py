@@ -4,6 +4,8 @@ The pattern of those tokenizers lets a piece hold white space only at its start
 may be cut wherever white space follows something else: each part is a run of white space with what follows it up to
 the next.  That holds for blanks, tabs and line ends as long as no other kind of white space stands beside them;
 texts with other kinds are one part.  Likewise a part may be cut between a letter and the marks behind it.
+
+Only for the patterns in SPLITS is that so: texts go whole to tokenizers with others.
 """
 
 from __future__ import annotations
@@ -14,6 +16,12 @@ import numpy as np
 
 from ._common import gathered
 
+#: Patterns of which the above holds (fixed values): that of the byte-level family, as written for two engines.
+SPLITS = frozenset({
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
+    r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",
+})
+
 _PART = re.compile(r"[ \n\t\r]*[^ \n\t\r]+|[ \n\t\r]+")
 #: Other white space, and what some call so.
 _OTHER = [chr(c) for c in (0x0B, 0x0C, 0x1C, 0x1D, 0x1E, 0x1F, 0x85, 0xA0, 0x1680, 0x180E, *range(0x2000, 0x200C), 0x2028, 0x2029, 0x202F, 0x205F, 0x2060, 0x3000, 0xFEFF)]
@@ -49,14 +57,19 @@ def cut(whole: str) -> tuple[str, str]:
     return (core, whole[len(core) :]) if core != whole and core[-1:].isalpha() else (whole, "")
 
 
+#: Bytes that Python's objects and numpy's arrays take for a part and for a core, beside their characters.
+ENTRY, CORE = 260, 220
+
+
 class PartCache(dict):
     """Numbers for parts, and the ids of each; encode(list of new strings) gives a list of sequences of ids.
 
-    It holds at most so many characters of parts, and starts anew when a batch begins beyond that."""
+    It holds about so many bytes at most, and starts anew when a batch begins beyond that.  Where parts is false, or a
+    text holds one of the strings in whole, that text is one part."""
 
-    def __init__(self, encode, most: int = 30_000_000):
+    def __init__(self, encode, most: int = 64 << 20, parts: bool = True, whole: tuple[str, ...] = ()):
         super().__init__()
-        self.encode, self.most = encode, most
+        self.encode, self.most, self.parts, self.whole = encode, most, parts, whole
         self._clear()
 
     def _clear(self) -> None:
@@ -74,14 +87,14 @@ class PartCache(dict):
         if k is None:
             k = self.cores[s] = len(self.cores)
             self.new_cores.append(s)
-            self.held += len(s) + 30
+            self.held += 2 * len(s) + CORE
         return k
 
     def __missing__(self, key: Key) -> int:
         whole = part(key)
-        core, marks = cut(whole)
+        core, marks = cut(whole) if self.parts else (whole, "")
         k = self[key] = len(self)
-        self.held += len(whole) + 30
+        self.held += 2 * len(whole) + ENTRY
         self.pairs.append((self._core(core), self._core(marks)))
         return k
 
@@ -108,7 +121,7 @@ class PartCache(dict):
             self._clear()
         get, numbers, counts = self.__getitem__, [], np.zeros(len(texts), np.int64)
         for i, text in enumerate(texts):
-            own = keys(text)
+            own = keys(text) if self.parts and not any(map(text.__contains__, self.whole)) else [(text,)]
             counts[i] = len(own)
             numbers.append(np.fromiter(map(get, own), np.int64, len(own)))
         self._settle()

@@ -5,23 +5,26 @@ piece.  In each round every row looks its neighbouring pairs up in a hash table,
 rank, and closes the gap; rows without a pair that merges leave the matrix.  A piece that is in the vocabulary as a
 whole is that token, as the ranks' library has it.
 
-A null text counts as empty; empty texts have no ids.  Texts of any length are encoded whole: they are cut into
-pieces, and a piece longer than the longest bucket gets a matrix of its own width.
+A piece of more than LONG bytes would need as many rounds as it has merges, each over its whole row.  Its pairs wait
+in a heap instead, ordered by rank and place, and its ids are a linked list: the same merges in the same order.
+
+A null text counts as empty; empty texts have no ids.  Texts of any length are encoded whole.  Rows are encoded each
+by itself, so that repeated rows, and rows that share a doc_id or have none, all come back; an empty table gives none.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import heapq
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from ._common import documents, gathered, one_fits, slices, texts
-from ._pieces import PartCache
+from ._common import documents, gathered, lean, one_fits, slices, sole, texts
+from ._pieces import SPLITS, PartCache
 
 RANKS = "byte_bpe_multi_50k.tiktoken"
 #: White space as the pattern means it; the regex module's own class has more.
@@ -30,6 +33,8 @@ _EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 _NONE = np.uint32(0xFFFFFFFF)
 #: Cells of the largest matrix worked on at once.
 CELLS = 1 << 20
+#: Bytes of the longest piece that is a row of a matrix.
+LONG = 512
 
 
 def default_ranks() -> str:
@@ -148,6 +153,37 @@ class MatrixBpe:
         found[np.arange(1, width)[None, :] >= lengths[:, None]] = _NONE
         return found
 
+    def merge_long(self, piece: bytes) -> np.ndarray:
+        """The ids of one piece after all its merges, by a heap of pairs."""
+        n = len(piece)
+        ids = self.of_byte[np.frombuffer(piece, np.uint8)].astype(np.uint64)
+        found = self.table.find(ids[:-1] << np.uint64(32) | ids[1:])
+        some = np.flatnonzero(found != _NONE)
+        shift, mask = n.bit_length(), (1 << n.bit_length()) - 1
+        heap = ((found[some].astype(np.int64) << shift) | some).tolist()
+        heapq.heapify(heap)
+        ranks = np.where(found == _NONE, -1, found.astype(np.int64)).tolist() + [-1]  # of the pair that begins here
+        before, after, known = list(range(-1, n - 1)), list(range(1, n + 1)), self.ranks.get
+        merged = ids.tolist()
+        while heap:
+            rank, at = divmod(heapq.heappop(heap), mask + 1)
+            if ranks[at] != rank:
+                continue  # one of the two is gone
+            right = after[at]
+            end = after[right]
+            merged[at], merged[right], ranks[right], after[at] = rank, -1, -1, end
+            if end < n:
+                before[end] = at
+            for a in (at, before[at]):
+                if a >= 0:
+                    b = after[a]
+                    new = known(piece[a : after[b]]) if b < n else None
+                    ranks[a] = -1 if new is None else new
+                    if new is not None:
+                        heapq.heappush(heap, new << shift | a)
+        out = np.array(merged, np.int64)
+        return out[out >= 0].astype(np.uint32)
+
     def pieces(self, pieces: list[bytes]) -> list[np.ndarray]:
         """The ids of each piece."""
         out: list = [None] * len(pieces)
@@ -156,6 +192,8 @@ class MatrixBpe:
             whole = self.ranks.get(piece)
             if whole is not None:
                 out[i] = (whole,)
+            elif len(piece) > LONG:
+                out[i] = self.merge_long(piece)
             elif piece:
                 left.append(i)
             else:
@@ -187,10 +225,9 @@ class MatrixBpe:
         return gathered(self.token_bytes, self.token_starts[ids], self.token_lengths[ids])
 
 
-@lru_cache(maxsize=2)
 def _encoder(ranks_path: str, pattern: str) -> tuple[MatrixBpe, PartCache]:
     bpe = MatrixBpe(ranks_path, pattern)
-    return bpe, PartCache(bpe.encode)
+    return bpe, PartCache(bpe.encode, parts=pattern in SPLITS)
 
 
 def encode_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str | None = None, ids_column: str | None = None) -> DataFrame:
@@ -205,7 +242,7 @@ def encode_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str |
     text = one_fits(own, "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, cache = _encoder(ranks_path, pattern)
+        bpe, cache = sole(("bpe", ranks_path, pattern), lambda: _encoder(ranks_path, pattern))
         for batch in slices(batches, text):
             ids, lengths = cache.encoded(texts(batch.column(text)))
             decoded = bpe.decode(ids)
@@ -218,7 +255,7 @@ def encode_decode(docs: DataFrame, ranks_path: str | None = None, pattern: str |
             yield pa.RecordBatch.from_arrays([columns[c] for c in (*own, *kinds)], names=[*own, *kinds])
 
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name in own] + [f"`{c}` {k}" for c, (k, _) in kinds.items()])
-    return docs.select(*own, docs["text"].alias(text)).mapInArrow(run, schema)
+    return docs.select(*own, docs["text"].alias(text)).mapInArrow(lean(run), schema)
 
 
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import random
+import time
 import zlib
 
 import numpy as np
@@ -11,7 +12,7 @@ import pytest
 P = pytest.importorskip("public_tokenizers")
 
 from flowloom.llm._pieces import PartCache, keys, part  # noqa: E402
-from flowloom.llm.bpe import MatrixBpe, default_pattern, default_ranks, encode_decode  # noqa: E402
+from flowloom.llm.bpe import MatrixBpe, _encoder, default_pattern, default_ranks, encode_decode  # noqa: E402
 from flowloom.llm.token_files import Folder, _cache, bases, default_tokenizer, read_shards, write_shards  # noqa: E402
 
 
@@ -27,9 +28,7 @@ def reference():
 def library():
     from tokenizers import Tokenizer
 
-    t = Tokenizer.from_file(default_tokenizer())
-    t.encode_special_tokens = True
-    return t
+    return Tokenizer.from_file(default_tokenizer())
 
 
 def odd_texts(seed=3, n=1500):
@@ -64,6 +63,64 @@ def test_library_on_parts(library):
         assert ids[a:b].tolist() == library.encode(t, add_special_tokens=False).ids, t
 
 
+def test_strings_of_special_tokens(library):
+    cache, _ = _cache(default_tokenizer())
+    plain, _ = _cache(default_tokenizer(), plain=True)
+    text = "x <|endoftext|> y.\n<|endoftext|><|endoftext|>"
+    assert cache.encoded([text])[0].tolist() == library.encode(text, add_special_tokens=False).ids and 50256 in cache.encoded([text])[0]
+    assert 50256 not in plain.encoded([text])[0]
+
+
+def test_documents_of_the_tables(sf, library):
+    """The unmodified library, on all texts of the small table and of the next."""
+    import pyarrow.parquet as pq
+
+    cache, _ = _cache(default_tokenizer())
+    for folder in (sf, sf.replace("0.001", "0.01")):
+        texts = [t or "" for t in pq.read_table(f"{folder}/documents.parquet", columns=["text"]).column(0).to_pylist()]
+        ids, n = cache.encoded(texts)
+        assert n.tolist() == [len(x.ids) for x in library.encode_batch(texts, add_special_tokens=False)]
+        assert ids.tolist() == [i for x in library.encode_batch(texts, add_special_tokens=False) for i in x.ids]
+
+
+def test_other_tokenizers_take_whole_texts(spark):
+    from tokenizers import Tokenizer
+
+    path = P.path("word_bpe_49k.json")
+    cache, _ = _cache(path)
+    texts, theirs = odd_texts(5, 200), Tokenizer.from_file(path)
+    ids, n = cache.encoded(texts)
+    ends = np.cumsum(n)
+    assert [ids[e - k : e].tolist() for e, k in zip(ends, n, strict=True)] == [theirs.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+@pytest.mark.parametrize("letters", ["0123456789abcdef", "abcdefghijklmnopqrstuvwxyz", "a", "é漢"])
+def test_long_pieces(reference, letters):
+    rng = random.Random(5)
+    bpe = MatrixBpe(default_ranks(), default_pattern())
+    for n in (513, 700, 2000):
+        piece = "".join(rng.choice(letters) for _ in range(n)).encode()
+        row = bpe.of_byte[np.frombuffer(piece, np.uint8)][None, :].copy()
+        assert bpe.merge_long(piece).tolist() == bpe.merge(row, np.array([len(piece)]))[0].tolist()
+    long = "".join(rng.choice(letters) for _ in range(200_000))
+    began = time.perf_counter()
+    ids, _ = PartCache(bpe.encode).encoded([long])
+    assert bpe.decode(ids).tobytes() == long.encode() and time.perf_counter() - began < 30
+
+
+def test_another_pattern_takes_whole_texts():
+    import tiktoken
+
+    pattern = r"\p{L}+ |\p{N}{1,3}|[^\p{L}\p{N}]|\p{L}+"
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(default_ranks(), "rb"))}
+    theirs = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    _, cache = _encoder(default_ranks(), pattern)
+    texts = ["ab cd 12345 x", " a  b\n", "", "one two three"]
+    ids, n = cache.encoded(texts)
+    ends = np.cumsum(n)
+    assert [ids[e - k : e].tolist() for e, k in zip(ends, n, strict=True)] == [theirs.encode_ordinary(t) for t in texts]
+
+
 def test_encode_decode(docs, rows, reference):
     got = encode_decode(docs, ids_column="chunk").collect()
     want = sorted((str(i), len(ids := reference.encode_ordinary(t or "")), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256((t or "").encode()).hexdigest()) for i, t in rows)
