@@ -60,11 +60,39 @@ def _home(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     own = tempfile.mkdtemp(prefix="flowloom-captures-")
     atexit.register(shutil.rmtree, own, True)
     return own
 
 
+def _put(folder: str, name: str, body: bytes) -> None:
+    """A file that is there whole or not at all; folder and name may lie on any file system that pyarrow knows."""
+    context = TaskContext.get()
+    fs, root = (pafs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")) if "://" not in folder or folder.startswith("file:") else pafs.FileSystem.from_uri(folder)
+    *inner, last = name.split("/")
+    path, own = "/".join([root, *inner]), f".{context.partitionId()}-{context.taskAttemptId()}-{last}"
+    fs.create_dir(path, recursive=True)
+    with fs.open_output_stream(f"{path}/{own}") as f:
+        f.write(body)
+    fs.move(f"{path}/{own}", f"{path}/{last}")
+
+
+def placed(spark: SparkSession, files: dict[str, bytes]) -> str:
+    """A new folder with these files, by their names in it."""
+    folder = f"{_home(spark)}/files-{uuid.uuid4().hex}"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, body in zip(batch.column("name").to_pylist(), batch.column("body").to_pylist(), strict=True):
+                _put(folder, name, body)
+            yield batch.select(["name"])
+
+    spark.createDataFrame(list(files.items()), "name string, body binary").mapInArrow(write, "name string").collect()
+    return folder
+
+
 def captures(spark: SparkSession, sf_dir: str, layout: str = "v5") -> str:
     """The folder of the captures in a layout; made on the first call of a session."""
     key = (spark.sparkContext.applicationId, sf_dir, layout)
@@ -82,13 +110,8 @@ def captures(spark: SparkSession, sf_dir: str, layout: str = "v5") -> str:
         columns = {c: table.column(c).to_numpy() for c in COLUMNS}
         secs = columns["unix_secs"]
         body = capture(columns, version, little, level, stream, capture=(int(secs.min()), int(secs.max())), n_flows=len(secs))
-        context = TaskContext.get()
-        name, own = f"ft-{context.partitionId():05d}", f".{context.partitionId()}-{context.taskAttemptId()}"
-        fs, path = (pafs.LocalFileSystem(), "/" + folder.removeprefix("file:").lstrip("/")) if "://" not in folder or folder.startswith("file:") else pafs.FileSystem.from_uri(folder)
-        fs.create_dir(path, recursive=True)
-        with fs.open_output_stream(f"{path}/{own}") as f:
-            f.write(body)
-        fs.move(f"{path}/{own}", f"{path}/{name}")
+        name = f"ft-{TaskContext.get().partitionId():05d}"
+        _put(folder, name, body)
         yield pa.RecordBatch.from_pydict({"name": [name]})
 
     made = flows.repartitionByRange(int(files), "unix_secs").mapInArrow(write, "name string")

@@ -112,47 +112,41 @@ class Interface:
         return T.StructType([T.StructField(c.name, T.StringType() if stringify and c.conversion else kinds[c.column.kind](), False) for c in chosen])
 
 
-# Fixed values of the record formats, in order of offset: SQL name, internal name, offset, kind, conversion,
-# statistics flag.  A name in brackets is in version 7 only.
-_FIELDS = """
-unix_secs    unix_secs    0   long   -         yes
-unix_nsecs   unix_nsecs   4   long   -         -
-sysuptime    sys_uptime   8   long   -         -
-exaddr       export_ip    12  long   ipv4      -
-srcip        srcip        16  long   ipv4      yes
-dstip        dstip        20  long   ipv4      yes
-nexthop      nexthop      24  long   ipv4      -
-input        input        28  int    -         -
-output       output       30  int    -         -
-packets      packets      32  long   -         -
-octets       octets       36  long   -         -
-first_flow   first        40  long   -         -
-last_flow    last         44  long   -         -
-srcport      srcport      48  int    -         yes
-dstport      dstport      50  int    -         yes
-protocol     protocol     52  short  protocol  yes
-tos          tos          53  short  -         -
-tcp_flags    tcp_flags    54  short  -         -
-[flags]      flags        55  short  -         -
-engine_type  engine_type  56  short  -         -
-engine_id    engine_id    57  short  -         -
-src_mask     src_mask     58  short  -         -
-dst_mask     dst_mask     59  short  -         -
-src_as       src_as       60  int    -         -
-dst_as       dst_as       62  int    -         -
-[router_sc]  router_sc    64  long   ipv4      -
-"""
+# Fixed values of the record formats, in order of offset: SQL name, internal name, offset, kind, conversion, whether it
+# has statistics, the versions that have it.
+_FIELDS = (
+    ("unix_secs", "unix_secs", 0, "long", None, True, (5, 7)),
+    ("unix_nsecs", "unix_nsecs", 4, "long", None, False, (5, 7)),
+    ("sysuptime", "sys_uptime", 8, "long", None, False, (5, 7)),
+    ("exaddr", "export_ip", 12, "long", "ipv4", False, (5, 7)),
+    ("srcip", "srcip", 16, "long", "ipv4", True, (5, 7)),
+    ("dstip", "dstip", 20, "long", "ipv4", True, (5, 7)),
+    ("nexthop", "nexthop", 24, "long", "ipv4", False, (5, 7)),
+    ("input", "input", 28, "int", None, False, (5, 7)),
+    ("output", "output", 30, "int", None, False, (5, 7)),
+    ("packets", "packets", 32, "long", None, False, (5, 7)),
+    ("octets", "octets", 36, "long", None, False, (5, 7)),
+    ("first_flow", "first", 40, "long", None, False, (5, 7)),
+    ("last_flow", "last", 44, "long", None, False, (5, 7)),
+    ("srcport", "srcport", 48, "int", None, True, (5, 7)),
+    ("dstport", "dstport", 50, "int", None, True, (5, 7)),
+    ("protocol", "protocol", 52, "short", "protocol", True, (5, 7)),
+    ("tos", "tos", 53, "short", None, False, (5, 7)),
+    ("tcp_flags", "tcp_flags", 54, "short", None, False, (5, 7)),
+    ("flags", "flags", 55, "short", None, False, (7,)),
+    ("engine_type", "engine_type", 56, "short", None, False, (5, 7)),
+    ("engine_id", "engine_id", 57, "short", None, False, (5, 7)),
+    ("src_mask", "src_mask", 58, "short", None, False, (5, 7)),
+    ("dst_mask", "dst_mask", 59, "short", None, False, (5, 7)),
+    ("src_as", "src_as", 60, "int", None, False, (5, 7)),
+    ("dst_as", "dst_as", 62, "int", None, False, (5, 7)),
+    ("router_sc", "router_sc", 64, "long", "ipv4", False, (7,)),
+)
 RECORD_SIZES = {5: 64, 7: 68}
 
 
 def _columns(version: int) -> tuple[MappedColumn, ...]:
-    out = []
-    for line in _FIELDS.split("\n")[1:-1]:
-        name, own, offset, kind, conversion, statistics = line.split()
-        if name.startswith("[") and version != 7:
-            continue
-        out.append(MappedColumn(name.strip("[]"), FlowColumn(kind, own, int(offset)), statistics == "yes", None if conversion == "-" else conversion))
-    return tuple(out)
+    return tuple(MappedColumn(name, FlowColumn(kind, own, offset), statistics, conversion) for name, own, offset, kind, conversion, statistics, versions in _FIELDS if version in versions)
 
 
 V5 = Interface("version5", 5, RECORD_SIZES[5], _columns(5))

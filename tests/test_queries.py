@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from flowloom.plans import queries
+from flowloom.plans import outcomes, queries  # noqa: F401  outcomes adds queries
 
 
 @pytest.fixture(scope="module")
