@@ -47,10 +47,10 @@ def main() -> None:
         "full_scan": lambda: flows(stringify="false"),
         "full_scan_stringify": lambda: flows(),
         "high_pushdown_off": lambda: flows(predicate_pushdown="false").filter(F.col("srcport") != 10),
-        "high_pushdown_on": lambda: flows(push=True).filter(F.col("srcport") != 10),
+        "high_pushdown_on": lambda: flows().filter(F.col("srcport") != 10),
         "low_pushdown_off": lambda: flows(predicate_pushdown="false").filter(F.col("srcip") == "10.0.0.33"),
-        "low_pushdown_on": lambda: flows(push=True).filter(F.col("srcip") == "10.0.0.33"),
-        "aggregated_report": lambda: aggregated_report(flows(columns=[*FOUR, "packets", "octets"])),
+        "low_pushdown_on": lambda: flows().filter(F.col("srcip") == "10.0.0.33"),
+        "aggregated_report": lambda: aggregated_report(flows().select(*FOUR, "packets", "octets")),
     }
     seconds = {}
     for name, case in cases.items():

@@ -113,7 +113,7 @@ def shortcut_v7(spark, sf_dir):
 
 @query("SELECT srcport, dstport FROM flows")
 def project_pruned(spark, sf_dir):
-    return raw(spark, sf_dir, columns=["srcport", "dstport"])
+    return raw(spark, sf_dir).select("srcport", "dstport")
 
 
 @query("SELECT srcip, srcip AS srcip_again FROM flows")
@@ -124,7 +124,7 @@ def project_repeated(spark, sf_dir):
 
 @query("SELECT count(*) AS n FROM flows")
 def count_zero_columns(spark, sf_dir):
-    return raw(spark, sf_dir, columns=[]).agg(F.count(F.lit(1)).alias("n"))
+    return raw(spark, sf_dir).agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("SELECT count(*) AS n FROM (SELECT DISTINCT srcip FROM flows)")
@@ -132,12 +132,12 @@ def distinct_srcip(spark, sf_dir):
     return raw(spark, sf_dir, columns=["srcip"]).distinct().agg(F.count(F.lit(1)).alias("n"))
 
 
-# Filters, by Spark's pushdown
+# Filters above the source
 
 
 def _filter(name: str, sql: str, condition: Callable[[], Column], shown: bool = False, pushdown: str = "true") -> None:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = (text if shown else raw)(spark, sf_dir, columns=COLUMNS, push=True, predicate_pushdown=pushdown)
+        df = (text if shown else raw)(spark, sf_dir, predicate_pushdown=pushdown).select(*COLUMNS)
         return df.filter(condition())
 
     run.__name__ = name

@@ -7,42 +7,52 @@ from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import IntegerType, LongType
 
 from flowloom.shipping import ship
 
-from .datasource import FlowSource, listed, opened
+from .datasource import FlowSource, key_column, listed, opened, resolve
 from .decode import open_header
+from .frame import FlowFrame, Reading
+from .options import FlowOptions
 from .predicate import Predicate, to_json
 
-_PUSH = "spark.sql.python.filterPushdown.enabled"
-
-
 def register(spark: SparkSession) -> None:
     """Makes format "netflow" known to the session, also for SQL: CREATE TEMPORARY VIEW v USING netflow OPTIONS (...)."""
     ship(spark)
     spark.dataSource.register(FlowSource)
 
 
-def read_flows(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, where: Predicate | None = None, push: bool = False, **options) -> DataFrame:
-    """A DataFrame over captures.
+def read_flows(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str] | None = None, where: Predicate | None = None, **options) -> DataFrame:
+    """A DataFrame over captures, which reads only what its select() and filter() ask for (see frame).
 
-    columns: read only these, and no others from disk.  where: a predicate for the source, on numbers, which may have
-    parts that Spark does not push down (such as "or").  push: let Spark push the filters above into the source; only
-    for a DataFrame that is filtered in one way and scanned once, since Spark keeps pushed filters with the relation
-    and not with the scan.  Other options as of the format, with _ for -.  The session's
-    spark.sql.files.ignoreCorruptFiles holds unless ignoreCorruptFiles is given."""
+    columns: only these.  where: a predicate for the source, on numbers.  Other options as of the format, with _ for -.
+    The session's spark.sql.files.ignoreCorruptFiles holds unless ignoreCorruptFiles is given."""
     register(spark)
     own = {k.replace("_", "-"): str(v).lower() if isinstance(v, bool) else str(v) for k, v in options.items()}
     own.setdefault("ignoreCorruptFiles", spark.conf.get("spark.sql.files.ignoreCorruptFiles", "false"))
-    if columns is not None:
-        own["columns"] = json.dumps(list(columns))
-    if where is not None:
-        own["where"] = json.dumps(to_json(where))
-    if push and own.get("predicate-pushdown") != "false":
-        # A reader that takes filters fails if this is off; it is read when a plan is made, so it stays on.
-        spark.conf.set(_PUSH, "true")
-        own["push"] = "true"
-    return spark.read.format("netflow").options(**own).load(path if isinstance(path, str) else list(path))
+
+    def make(columns: Sequence[str] | None, where: Predicate | None) -> DataFrame:
+        more = dict(own)
+        if columns is not None:
+            more["columns"] = json.dumps(list(columns))
+        if where is not None:
+            more["where"] = json.dumps(to_json(where))
+        return spark.read.format("netflow").options(**more).load(path if isinstance(path, str) else list(path))
+
+    options = FlowOptions.of(own)
+    keys = ({"path": path} if isinstance(path, str) else {"paths": json.dumps(list(path))}) | own
+    # The version is read once; every scan that the frame makes has it given.
+    try:
+        scan = resolve(keys)
+    except Exception:
+        make(columns, where)  # fails in the same way, as Spark says it
+        raise
+    if options.version is None:
+        own["version"] = str(scan.interface.version)
+    fields = scan.schema().fieldNames()
+    numbers = {k.name: key_column(k) for k in scan.keys if k.name not in scan.interface.by_name and isinstance(k.dataType, (IntegerType, LongType))}
+    return FlowFrame(Reading(spark, make, scan.interface, options.stringify, options.pushdown, numbers, tuple(fields if columns is None else columns), where))
 
 
 def netflow5(spark: SparkSession, path: str | Sequence[str], **options) -> DataFrame:

@@ -1,8 +1,7 @@
 """Flow captures as a Spark data source, for batches and streams.
 
 A file is one partition, or, if it is not compressed, one for each stretch of about splitSize bytes of whole
-records.  Files whose header's time range contradicts the predicate get no partition.  Filters that Spark pushes down
-are only used to drop records; Spark sees every filter again, so that results do not depend on pushdown.
+records.  Files whose partition columns or header's time range contradict the predicate get no partition.
 """
 
 from __future__ import annotations
@@ -20,13 +19,13 @@ import pyarrow.fs as pafs
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, DataSourceWriter, InputPartition
 
-from .convert import canonical_number, shown
+from .convert import shown
 from .decode import arrays, open_header
 from .header import FlowHeader
 from .options import FlowOptions
-from .predicate import FALSE, TRUE, And, Eq, Ge, Gt, In, Le, Lt, Not, Predicate, from_json, plan
+from .predicate import Predicate, from_json, plan, settled
 from .registry import create_interface
-from .schema import Interface, MappedColumn
+from .schema import FlowColumn, Interface, MappedColumn
 
 NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 BATCH_RECORDS = 65536
@@ -146,6 +145,7 @@ class Scan:
         if not self.options.where:
             return None
         by_name = {c.column.name: c.column for c in self.interface.columns} | {c.name: c.column for c in self.interface.columns}
+        by_name |= {c.name: c for c in map(key_column, self.keys)}
         return from_json(json.loads(self.options.where), by_name)
 
 
@@ -169,68 +169,13 @@ def resolve(options: dict[str, str]) -> Scan:
     return Scan(files, create_interface(version), own, partition_fields(files))
 
 
-def translated(f, scan: Scan) -> Predicate | None:
-    """A filter of Spark's as a predicate over records; none if it has no exact counterpart.  What is not known is
-    never negated: the whole conjunct is left to Spark."""
-    name = type(f).__name__
-    if name == "Not":
-        child = translated(f.child, scan)
-        return None if child is None else Not(child)
-    attribute = getattr(f, "attribute", ())
-    if len(attribute) != 1 or attribute[0] not in scan.interface.by_name:
-        return None
-    mapped = scan.interface.column(attribute[0])
-    column, as_text = mapped.column, scan.options.stringify and mapped.conversion
-    if name == "IsNull":
-        return FALSE
-    if name == "IsNotNull":
-        return TRUE
-    if name not in ("EqualTo", "GreaterThan", "GreaterThanOrEqual", "LessThan", "LessThanOrEqual", "In"):
-        return None
-    values = list(f.value) if name == "In" else [f.value]
-    if as_text:
-        # Shown as text, only equality means the same for numbers; and a text that no number is shown as equals nothing.
-        if name not in ("EqualTo", "In") or not all(isinstance(v, str) for v in values):
-            return None
-        values = [n for v in values if (n := canonical_number(mapped.conversion, v)) is not None]
-        if name == "EqualTo":
-            return Eq(column, values[0]) if values else FALSE
-        return In(column, values)
-    if any(isinstance(v, bool) or not isinstance(v, int) for v in values):
-        return None
-    if name == "In":
-        return In(column, values)
-    return {"EqualTo": Eq, "GreaterThan": Gt, "GreaterThanOrEqual": Ge, "LessThan": Lt, "LessThanOrEqual": Le}[name](column, values[0])
-
-
 def key_value(text: str, kind: T.DataType):
     return None if text == NO_PARTITION else text if isinstance(kind, T.StringType) else int(text)
 
 
-def keeps(f, values: dict) -> bool:
-    """Whether a file with these partition values may hold rows for which the filter is true."""
-    name = type(f).__name__
-    if name == "Not":
-        inner = type(f.child).__name__
-        if inner not in ("EqualTo", "In") or len(f.child.attribute) != 1 or f.child.attribute[0] not in values:
-            return True
-        v = values[f.child.attribute[0]]
-        return v is not None and v not in (f.child.value if inner == "In" else (f.child.value,))
-    attribute = getattr(f, "attribute", ())
-    if len(attribute) != 1 or attribute[0] not in values:
-        return True
-    v = values[attribute[0]]
-    if name == "IsNull":
-        return v is None
-    if name == "IsNotNull":
-        return v is not None
-    tests = {"EqualTo": lambda: v == f.value, "In": lambda: v in f.value, "GreaterThan": lambda: v > f.value, "GreaterThanOrEqual": lambda: v >= f.value, "LessThan": lambda: v < f.value, "LessThanOrEqual": lambda: v <= f.value}
-    if name not in tests:
-        return True
-    try:
-        return v is not None and tests[name]()
-    except TypeError:
-        return True
+def key_column(k: T.StructField) -> FlowColumn:
+    """A partition column of whole numbers, for predicates."""
+    return FlowColumn("long", f"key {k.name}", 0)
 
 
 @dataclass
@@ -248,20 +193,18 @@ class Stretch(InputPartition):
 class FlowReaderBase:
     def __init__(self, scan: Scan):
         self.scan = scan
-        self.pushed: list[Predicate] = []
-        self.key_filters: list = []
 
-    @property
-    def predicate(self) -> Predicate | None:
-        parts = ([self.scan.where] if self.scan.where is not None else []) + self.pushed
-        out = None
-        for p in parts:
-            out = p if out is None else And(out, p)
-        return out
+    def _predicate(self, file: FlowFile) -> Predicate | None:
+        """The predicate for a file, whose partition columns have one value each."""
+        where = self.scan.where
+        if where is None or not self.scan.keys:
+            return where
+        keys = dict(file.keys)
+        return settled(where, {key_column(k).name: key_value(keys.get(k.name, NO_PARTITION), k.dataType) for k in self.scan.keys if not isinstance(k.dataType, T.StringType)})
 
-    def _plan(self, header: FlowHeader):
+    def _plan(self, file: FlowFile, header: FlowHeader):
         bounds = {"unix_secs": header.time_range} if header.time_range else {}
-        return plan(self.predicate, bounds)
+        return plan(self._predicate(file), bounds)
 
     def _header(self, f: FlowFile) -> FlowHeader | None:
         """None where only the reading task should find out what is wrong."""
@@ -272,8 +215,8 @@ class FlowReaderBase:
             return None
 
     def stretches(self, files: list[FlowFile]) -> list[Stretch]:
-        kinds = {k.name: k.dataType for k in self.scan.keys}
-        files = [f for f in files if all(keeps(x, {k: key_value(v, kinds[k]) for k, v in f.keys}) for x in self.key_filters)]
+        # Files that their partition columns rule out are not opened.
+        files = [f for f in files if plan(self._predicate(f)).kind != "skip"]
         with ThreadPoolExecutor(16) as pool:
             headers = list(pool.map(self._header, files))
         out, size = [], self.scan.interface.record_size
@@ -281,7 +224,7 @@ class FlowReaderBase:
             if header is None or not header.is_valid or header.flow_version != self.scan.interface.version:
                 out.append(Stretch(f))
                 continue
-            if self._plan(header).kind == "skip":
+            if self._plan(f, header).kind == "skip":
                 continue
             body = f.size - header.header_size
             n, each = body // size, max(1, self.scan.options.split_size // size)
@@ -311,7 +254,7 @@ class FlowReaderBase:
                 return
             if header.flow_version != scan.interface.version:
                 raise ValueError(f"requirement failed: Expected version {scan.interface.version}, got {header.flow_version} for file {partition.file.path}")
-            strategy = self._plan(header)
+            strategy = self._plan(partition.file, header)
             if strategy.kind == "skip":
                 return
             skip = partition.first * scan.interface.record_size
@@ -345,27 +288,10 @@ def _discard(f, n: int) -> None:
 
 
 class FlowBatchReader(FlowReaderBase, DataSourceReader):
-    """Without pushdown from Spark: where the session does not allow it, or the option says no."""
-
     def partitions(self):
         return self.stretches(self.scan.files)
 
 
-class FlowFilterReader(FlowBatchReader):
-    """With it.  Spark keeps what was pushed with the relation, not with the scan: a DataFrame whose plan scans the
-    relation twice, or filters it in two ways, would see the wrong rows.  So this reader is only used where asked for."""
-
-    def pushFilters(self, filters):
-        keys = {k.name for k in self.scan.keys}
-        for f in filters:
-            attribute = getattr(f, "attribute", None) or getattr(getattr(f, "child", None), "attribute", ())
-            if len(attribute) == 1 and attribute[0] in keys:
-                self.key_filters.append(f)
-            elif (p := translated(f, self.scan)) is not None:
-                self.pushed.append(p)
-            yield f
-
-
 class FlowStreamReader(FlowReaderBase, DataSourceStreamReader):
     """New files as they come, in order of time of change and path; the offset is the last of them."""
 
@@ -415,9 +341,7 @@ class FlowSource(DataSource):
         return self._scan().schema()
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
-        scan = self._scan()
-        push = str(self.options.get("push", "false")).lower() == "true"
-        return FlowFilterReader(scan) if push and scan.options.pushdown else FlowBatchReader(scan)
+        return FlowBatchReader(self._scan())
 
     def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
         return FlowStreamReader(self._scan(), dict(self.options))

@@ -122,8 +122,8 @@ FILTERS = [
 def test_pushdown_changes_nothing(spark, files, condition):
     path = str(files / "v5")
     plain = netflow5(spark, path).filter(condition).select("srcport").collect()
-    assert sorted(netflow5(spark, path, push=True).filter(condition).select("srcport").collect()) == sorted(plain)
-    assert sorted(netflow5(spark, path, push=True, predicate_pushdown="false").filter(condition).select("srcport").collect()) == sorted(plain)
+    assert sorted(netflow5(spark, path).filter(condition).select("srcport").collect()) == sorted(plain)
+    assert sorted(netflow5(spark, path, predicate_pushdown="false").filter(condition).select("srcport").collect()) == sorted(plain)
 
 
 def test_same_frame_filtered_twice(spark, files):
@@ -131,10 +131,43 @@ def test_same_frame_filtered_twice(spark, files):
     assert df.filter("srcport < 5").union(df.filter("srcport >= 995")).count() == 10
 
 
+def test_frames_narrow(spark, files):
+    """What select() and filter() ask for reaches the scan, and nothing else is decoded."""
+    path = str(files / "v5")
+    df = netflow5(spark, path, stringify="false")
+    either = df.filter((F.col("srcport") == 3) | ~F.col("dstport").isin(65281, 65282) & (F.lit(10) > F.col("octets"))).select("srcip", "srcport")
+    assert sorted(r.srcport for r in either.collect()) == [0, 3, 4, 5, 6, 7, 8]
+    assert either.reading.columns == ("srcip", "srcport") and either.reading.where is not None
+    assert netflow5(spark, path).select("srcip").reading.columns == ("srcip",)
+    plan = df.select(F.col("srcport") + 1)._jdf.queryExecution().optimizedPlan().toString()
+    assert "srcport" in plan and "dstip" not in plan and "dstip" not in df.agg(F.max("srcport"))._jdf.queryExecution().optimizedPlan().toString()
+    assert df.count() == 1000 and df.filter("srcport < 9").count() == 9 and df.filter("srcport < 9").filter("octets > 5").select("srcport").count() == 4
+
+
+def test_frames_are_dataframes(spark, files):
+    """Columns of a frame, functions in Python, and unknown columns do what they do elsewhere."""
+    df = netflow5(spark, str(files / "v5"), stringify="false")
+    odd = F.udf(lambda x: x % 2 == 1, "boolean")
+    assert df.filter(odd("srcport")).filter(df["srcport"] < 5).count() == 2
+    assert df.select(df["srcport"], df.dstport).join(df.select(F.col("srcport").alias("other")), F.col("srcport") == F.col("other")).count() == 1000
+    assert df.where("srcport = 5 OR srcport = 6").groupBy("protocol").count().first()["count"] == 2
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        df.filter("nowhere = 1")
+    with pytest.raises(Exception, match="UNRESOLVED_COLUMN"):
+        df.select("srcip").filter("srcport = 1")
+
+
+def test_files_are_skipped_by_partition_columns(spark, files):
+    df = netflow5(spark, str(files / "parted"))
+    assert df.filter("day = 1").rdd.getNumPartitions() == 1 and df.filter("day = 1").count() == 3
+    assert df.filter("day = 1 OR srcport = 2000").count() == 3
+    assert df.filter("NOT day = 1").count() == 4
+
+
 @pytest.mark.parametrize(("condition", "n"), [("unix_secs > 500", 1), ("unix_secs >= 250 AND unix_secs < 260", 11), ("unix_secs = 350", 2), ("unix_secs < 100", 0), ("unix_secs > 0", 303)])
 def test_time_skipping(spark, files, condition, n):
     """Only files whose header has a time range that makes sense are skipped."""
-    assert netflow5(spark, str(files / "times"), push=True).filter(condition).count() == n
+    assert netflow5(spark, str(files / "times")).filter(condition).count() == n
 
 
 def test_skipped_files_have_no_partition(spark, files):
@@ -153,8 +186,8 @@ def test_partition_folders(spark, files):
     assert [(f.name, f.dataType.simpleString()) for f in df.schema][-2:] == [("day", "int"), ("kind", "string")]
     assert sorted((r.day, r.kind, r.n) for r in df.groupBy("day", "kind").agg(F.count(F.lit(1)).alias("n")).collect() if r.kind) == [(1, "x", 3), (2, "y", 4)]
     assert df.filter("kind IS NULL").count() == 5
-    pruned = netflow5(spark, path, push=True).filter("day = 1")
-    assert pruned.count() == 3 and netflow5(spark, path, push=True).filter("day > 1 AND kind = 'y'").count() == 4
+    pruned = netflow5(spark, path).filter("day = 1")
+    assert pruned.count() == 3 and netflow5(spark, path).filter("day > 1 AND kind = 'y'").count() == 4
 
 
 def test_custom_provider(spark, files):
@@ -192,10 +225,12 @@ def test_functions(spark):
 
 
 def test_aggregates(spark):
-    df = spark.createDataFrame([([1, 1, 1, 1, 2, 2, 3, 4, 5],), ([1, 2],), ([1],), ([-5, -4, -3],), (None,)], "a array<long>")
-    assert [r[0] for r in df.select(histogram_mode("a")).collect()] == [2, 1, 1, 0, None]
-    five = spark.createDataFrame([([5, 4, 3, 2, 1],)], "a array<long>")
-    assert [five.select(truncated_mean("a", s)).first()[0] for s in (1.0, 0.8, 0.6)] == [3, 3, 2]
+    df = spark.createDataFrame([([7, 8, 8, 9, 30, 31, 60],), ([4, 9],), ([6],), ([-9, -2, -7],), ([-3, 5, 6, 6],), (None,)], "a array<long>")
+    assert [r[0] for r in df.select(histogram_mode("a")).collect()] == [9, 4, 6, 0, 6, None]
+    even = df.select(histogram_mode("a", lambda low, high, n: F.lit(2)))
+    assert [r[0] for r in even.collect()] == [31, 4, 6, 0, 6, None]
+    some = spark.createDataFrame([([12, 3, 9, 6],), ([-8, -4, 2, 10],)], "a array<long>")
+    assert [[r[0] for r in some.select(truncated_mean("a", s)).collect()] for s in (1.0, 0.75, 0.5)] == [[7, 0], [6, -2], [4, -6]]
     empty = spark.createDataFrame([([],)], "a array<long>")
     for f in (lambda a: truncated_mean(a, 0.5), histogram_mode):
         with pytest.raises(Exception, match="empty array"):
