@@ -585,3 +585,17 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     kept = sets.join(labels, "set_key", "left").groupBy(F.coalesce("label", "set_key")).agg(F.min("first").alias("first")).select(F.col("first.row").alias(row))
     kept = kept.unionByName(members.filter("n = 0").select(F.col("row").alias(row)))
     return rows.join(kept, row, "left_semi").select(*docs.columns)
+
+
+#: The contract in SQL: all pairs that share a shingle, and what is reachable by links.
+OP7_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+shingles AS (SELECT DISTINCT doc_id, array_to_string(words[s:s + 3], ' ') AS k FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 2, 2))) AS s FROM d WHERE len(words) > 0)),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+common AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM shingles AS a JOIN shingles AS b ON a.k = b.k AND a.doc_id < b.doc_id GROUP BY a.doc_id, b.doc_id),
+links AS (SELECT a, b FROM common JOIN sizes AS x ON x.doc_id = a JOIN sizes AS y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+ways AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reached AS (SELECT a AS doc_id, b AS other FROM ways UNION SELECT reached.doc_id, ways.b FROM reached JOIN ways ON reached.other = ways.a),
+first AS (SELECT doc_id, min(other) AS other FROM reached GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(first.other, doc_id)) AS component_id FROM d LEFT JOIN sizes USING (doc_id) LEFT JOIN first USING (doc_id)
+"""

@@ -5,12 +5,12 @@ from __future__ import annotations
 from .bpe import op6_bpe
 from .decontamination import op3_decontamination
 from .exact_dedup import OP5_SQL, op5_exact_dedup
-from .jaccard_join import op7_jaccard_join
+from .jaccard_join import OP7_SQL, op7_jaccard_join
 from .language_id import op8_language_id, pages_language_id
 from .pii import op2_pii
 from .quality import op4_quality
-from .substring_dedup import op1_substring_dedup
-from .suffix_dedup import op10_suffix_dedup
+from .substring_dedup import OP1_SQL, op1_substring_dedup
+from .suffix_dedup import OP10_SQL, op10_suffix_dedup
 from .token_files import op9_token_files
 
 QUERIES = {
@@ -26,4 +26,4 @@ QUERIES = {
     "op10_suffix_dedup": op10_suffix_dedup,
     "pages_language_id": pages_language_id,
 }
-SQL = {"op5_exact_dedup": OP5_SQL}
+SQL = {"op1_substring_dedup": OP1_SQL, "op5_exact_dedup": OP5_SQL, "op7_jaccard_join": OP7_SQL, "op10_suffix_dedup": OP10_SQL}

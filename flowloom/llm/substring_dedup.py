@@ -236,3 +236,18 @@ def substring_dedup(docs: DataFrame, ws: Workspace, window: int = WINDOW) -> Dat
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(documents(spark, sf_dir), Workspace(spark, "op1"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The contract in SQL: all windows, and for each whether it is the first of its words.  Texts are cut into blocks that overlap.
+OP1_SQL = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words FROM documents),
+parts AS (SELECT doc_id, b, words[b + 1:b + 119] AS part FROM (SELECT doc_id, words, unnest(range(0, len(words) - 19, 100)) AS b FROM d WHERE len(words) >= 20)),
+starting AS (SELECT doc_id, b, part, unnest(range(1, least(101, len(part) - 18))) AS i FROM parts WHERE len(part) >= 20),
+ranked AS (SELECT doc_id, b + i AS s, row_number() OVER (PARTITION BY array_to_string(part[i:i + 19], ' ') ORDER BY doc_id, b + i) AS nth FROM starting),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s, s + 20)) AS i FROM ranked WHERE nth > 1),
+placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM d),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM placed ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id),
+lost AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(lost.n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id) LEFT JOIN kept USING (doc_id)
+"""

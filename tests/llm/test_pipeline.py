@@ -44,13 +44,14 @@ def test_queries_by_number():
     assert set(SQL) <= set(QUERIES)
 
 
-def test_exact_dedup_sql(spark, sf):
+@pytest.mark.parametrize("name", sorted(SQL))
+def test_sql(spark, sf, name):
     import duckdb
 
     con = duckdb.connect()
     for t in os.listdir(sf):
         con.execute(f"CREATE VIEW {t.split('.')[0]} AS SELECT * FROM '{sf}/{t}'")
-    got = QUERIES["op5_exact_dedup"](spark, sf)
-    want = con.execute(SQL["op5_exact_dedup"])
+    got = QUERIES[name](spark, sf)
+    want = con.execute(SQL[name])
     names = [d[0] for d in want.description]
     assert sorted(tuple(r[n] for n in names) for r in got.collect()) == sorted(want.fetchall())
