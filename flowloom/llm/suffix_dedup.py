@@ -3,20 +3,21 @@
 A suffix counts only through its first DEPTH bytes, its window.  Repeated windows are what a suffix array, sorted
 through that depth, has as groups of equal suffixes; only those that may be in such a group are ever sorted:
 
-Round 0.  Each window holds DEPTH - GRAM + 1 grams; its anchor is the one of least hash, the leftmost of these.
-Windows with one anchor are a run, and the bytes of the run are its span.  Every chunk sends each distinct (hash of
-the anchor's gram, hash of the span) once, with its smallest document.  Back comes: the anchor's gram is nowhere
-else, and so no window of the run is; the whole span is in a smaller document, and so every window is; or neither.
+Round 0 is a filter.  Each window holds DEPTH - GRAM + 1 grams; its anchor is the one of least hash, the leftmost of
+these.  Windows with one anchor are a run, and the bytes of the run are its span.  Every chunk sends each distinct
+(hash of the anchor's gram, hash of the span) once, with its smallest document, after it has compared the bytes of spans
+that are equal within it.  Back comes whether the anchor's gram is nowhere else, so that no window of the run is either.
 
-Round 1.  Spans of the last kind, which differ from others of their gram, are sent as bytes, and their windows are
-sorted by most-significant-digit passes of eight bytes: each pass orders the suffixes of every group by their next
-digit, and suffixes alone in their group leave.  After the pass that reaches DEPTH, groups hold exactly the equal
-windows.  Spans whose gram is in very many different spans would fill one task; their windows are dealt one by one
-by their own hash, each distinct one once for each chunk.
+Round 1.  All other spans are sent as bytes, and their windows are sorted by most-significant-digit passes of eight
+bytes: each pass orders the suffixes of every group by their next digit, and suffixes alone in their group leave.
+After the pass that reaches DEPTH, groups hold exactly the equal windows, and each is told whether a smaller document
+has it.  Spans whose gram very many chunks have would fill one task; their windows are dealt one by one by their own
+hash, each distinct one once for each chunk.
 
 A byte goes if a window that covers it also starts in a document of smaller doc_id.  Rows without doc_id come after
-all others; rows of equal doc_id do not count for each other.  A null text is empty; nothing of a text of fewer than
-DEPTH bytes goes.
+all others; rows of equal doc_id, and repeated rows, do not count for each other.  A null text is empty; nothing of a
+text of fewer than DEPTH bytes goes; texts of any length are read whole.  An empty table gives none.  Only doc_id and
+text are read, whatever other columns there are.
 """
 
 from __future__ import annotations
@@ -28,29 +29,48 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import Workspace, documents, gathered, mix, spread, window_hashes
+from ._common import Workspace, documents, gathered, mix, spread
 from ._exchange import Answers, Chunk, Exchange, bits_back, deltas, dealt, frame, hash_bits, small_ids, starts_of, undeltas, unframe
 from .substring_dedup import covered, runs_of, span_lists
 
 DEPTH = 50
-#: Different spans of one gram beyond which their windows are dealt one by one.
+#: Spans of one gram, from different chunks, beyond which their windows are dealt one by one.
 CROWD = 2048
 UNIQUE, WHOLE, PART, CROWDED = 0, 1, 2, 3
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+_ODD_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
+def _powers(base: np.uint64, n: int) -> np.ndarray:
+    out = np.full(n, base)
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+def _window_hashes(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
+    """Hashes of all windows of each length, from one prefix sum of the bytes' numbers times powers modulo 2^64."""
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(_ODD, len(data)), dtype=np.uint64)])
+    back = _powers(_ODD_BACK, len(data))
+    out = []
+    for length in lengths:
+        h = sums[length:] - sums[: len(sums) - length]
+        h *= back[: len(h)]
+        out.append(mix(h))
+    return out
+
+
 def _least(values: np.ndarray, width: int) -> np.ndarray:
-    """For each window of so many values, where its least value is; the leftmost of equal ones."""
-    n = len(values) - width + 1
-    at, best, size = np.arange(len(values), dtype=np.int32), values, 1
+    """For each window of so many values, where its least value is by the upper 32 bits; the leftmost of equal ones."""
+    best = values & np.uint64(0xFFFFFFFF00000000)
+    best |= np.arange(len(values), dtype=np.uint64)
+    size = 1
     while size < width:
         step = min(size, width - size)
-        left = best[: len(best) - step] <= best[step:]
-        at = np.where(left, at[: len(at) - step], at[step:])
-        best = np.where(left, best[: len(best) - step], best[step:])
+        best = np.minimum(best[: len(best) - step], best[step:])
         size += step
-    return at[:n]
+    return (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
 class Anchors:
@@ -60,7 +80,6 @@ class Anchors:
         gram = depth // 2 - 1
         lengths = np.diff(chunk.starts)
         n = len(chunk.data)
-        symbols = _BYTE[chunk.data]
         self.doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
         ok = np.zeros(n, bool)
         if n >= depth:
@@ -71,20 +90,23 @@ class Anchors:
             self.gram = self.span = np.zeros(0, np.uint64)
             self.begin = self.count = self.ids = np.zeros(0, np.int64)
             return
-        grams = window_hashes(symbols, gram)
-        self.windows = window_hashes(symbols, depth)
+        grams, self.windows = _window_hashes(chunk.data, (gram, depth))
         anchors = _least(grams, depth - gram + 1)[starts]
         edge = np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (self.doc[starts[1:]] != self.doc[starts[:-1]])])
         first = np.flatnonzero(edge)
-        begin, anchor = starts[first], anchors[first].astype(np.int64)
+        begin, anchor = starts[first], anchors[first]
         count = np.diff(np.append(first, len(starts)))
         high = np.uint64(((1 << bits) - 1) << (64 - bits))
         own = grams[anchor] & high
         span = self.windows[begin] * np.uint64(0x9FB21C651E98DF25) + self.windows[begin + count - 1] * np.uint64(0xD1342543DE82EF95)
         span += (count * 256 + anchor - begin).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
-        span = mix(span) >> np.uint64(16)
+        span = mix(span)
         ids = chunk.doc_ids[self.doc[begin]]
-        order = np.lexsort((begin, ids, span, own))
+        order = np.argsort(own, kind="stable")
+        many = starts_of(own[order])
+        many = np.append(~many[1:], False) | ~many
+        some = order[many]  # the rest are alone with their gram
+        order[many] = some[np.lexsort((some, ids[some], span[some], own[some]))]
         self.gram, self.span, self.begin, self.count, self.ids = own[order], span[order], begin[order], count[order], ids[order]
 
 
@@ -92,24 +114,23 @@ def ask_anchors(depth: int, bits: int):
     def ask(chunk: Chunk, _: Answers, buckets: int) -> Iterator[tuple[int, bytes]]:
         a = Anchors(chunk, depth, bits)
         first = np.flatnonzero(starts_of(a.gram, a.span)) if len(a.gram) else []
-        gram, span, ids = a.gram[first], a.span[first], a.ids[first]
+        gram = a.gram[first]
         for bucket, where in dealt(gram, buckets):
-            yield bucket, frame(deltas(gram[where] >> np.uint64(64 - bits)), span[where], small_ids(ids[where]))
+            yield bucket, frame(deltas(gram[where] >> np.uint64(64 - bits)))
 
     return ask
 
 
 def answer_anchors(crowd: int):
     def answer(_: int, bodies: list[bytes]) -> list[bytes]:
+        """For each gram and span of a chunk: whether other chunks, or other spans, have the gram."""
         parts = [unframe(b) for b in bodies]
-        gram, span, ids = np.concatenate([undeltas(p[0]) for p in parts]), np.concatenate([p[1] for p in parts]), np.concatenate([p[2].astype(np.int64) for p in parts])
-        order = np.lexsort((span, gram))
-        gram, span, ids = gram[order], span[order], ids[order]
-        new_span, new_gram = starts_of(gram, span), starts_of(gram)
-        least = np.minimum.reduceat(ids, np.flatnonzero(new_span))[np.cumsum(new_span) - 1]
-        different = np.add.reduceat(new_span.astype(np.int64), np.flatnonzero(new_gram))[np.cumsum(new_gram) - 1]
+        gram = np.concatenate([undeltas(p[0]) for p in parts])
+        order = np.argsort(gram)
+        new = starts_of(gram[order])
+        sizes = np.diff(np.append(np.flatnonzero(new), len(gram)))[np.cumsum(new) - 1]
         out = np.zeros(len(gram), np.uint8)
-        out[order] = np.where(least < ids, WHOLE, np.where(different < 2, UNIQUE, np.where(different > crowd, CROWDED, PART)))
+        out[order] = np.where(sizes < 2, UNIQUE, np.where(sizes > crowd, CROWDED, PART))
         ends = np.cumsum([len(p[0]) for p in parts])
         return [frame(out[e - len(p[0]) : e]) for e, p in zip(ends, parts, strict=True)]
 
@@ -119,7 +140,7 @@ def answer_anchors(crowd: int):
 class Verdicts:
     """What round 0 says of each run, and the windows to be sorted in round 1."""
 
-    def __init__(self, a: Anchors, answers: Answers, buckets: int, chunk: Chunk):
+    def __init__(self, a: Anchors, answers: Answers, buckets: int, chunk: Chunk, depth: int):
         n = len(a.gram)
         first = starts_of(a.gram, a.span) if n else np.zeros(0, bool)
         begins = np.flatnonzero(first)
@@ -129,7 +150,15 @@ class Verdicts:
         group = np.cumsum(first) - 1
         self.code = codes[group] if n else codes
         if n:
-            self.code = np.where((self.code == UNIQUE) & (a.ids <= a.ids[begins][group]), UNIQUE, np.where(a.ids > a.ids[begins][group], WHOLE, self.code))
+            # In a chunk, a span that a smaller document has as a whole: after a look at the bytes.
+            again = np.flatnonzero(~first)
+            sizes = a.count[again] + depth - 1
+            here, there = a.begin[again], a.begin[begins][group[again]]
+            for k in range(0, len(again), 1 << 14):
+                own = slice(k, k + (1 << 14))
+                if not np.array_equal(gathered(chunk.data, here[own], sizes[own]), gathered(chunk.data, there[own], sizes[own])):
+                    raise RuntimeError("two spans of one chunk have equal hashes and different bytes")
+            self.code = np.where(a.ids > a.ids[begins][group], WHOLE, self.code)
         self.first, self.group, self.begins = first, group, begins
         #: The first run of each span to be sorted, in order of gram.
         self.part = np.flatnonzero(first & (self.code == PART))
@@ -149,7 +178,7 @@ def ask_suffixes(depth: int, bits: int):
 
     def ask(chunk: Chunk, answers: Answers, buckets: int) -> Iterator[tuple[int, bytes]]:
         a = Anchors(chunk, depth, bits)
-        v = Verdicts(a, answers, buckets, chunk)
+        v = Verdicts(a, answers, buckets, chunk, depth)
         for bucket, where in dealt(a.gram[v.part], buckets):
             runs = v.part[where]
             yield bucket, frame(a.count[runs].astype(np.int32), small_ids(a.ids[runs]), gathered(chunk.data, a.begin[runs], a.count[runs] + depth - 1))
@@ -209,7 +238,7 @@ def repeated(chunk: Chunk, answers: Answers, depth: int, bits: int, buckets: int
     a = Anchors(chunk, depth, bits)
     if not len(a.gram):
         return np.zeros(len(chunk.data), bool), a.doc
-    v = Verdicts(a, answers, buckets, chunk)
+    v = Verdicts(a, answers, buckets, chunk, depth)
     whole = np.flatnonzero(v.code == WHOLE)
     starts, lengths = [a.begin[whole]], [a.count[whole] + depth - 1]
     if len(v.part):
@@ -264,3 +293,20 @@ def suffix_dedup(docs: DataFrame, ws: Workspace, depth: int = DEPTH, crowd: int
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = suffix_dedup(documents(spark, sf_dir), Workspace(spark, "op10"))
     return found.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: The contract in SQL, over bytes in hexadecimal; texts are cut into blocks that overlap, so that no long text is walked for each window.
+OP10_SQL = r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+blocks AS (SELECT doc_id, b, substr(h, 2 * b + 1, 2098) AS part FROM (SELECT doc_id, h, unnest(range(0, len(h) // 2, 1000)) AS b FROM d)),
+windows AS (SELECT doc_id, b + i AS s, substr(part, 2 * i + 1, 100) AS k FROM (SELECT doc_id, b, part, unnest(range(0, least(1000, len(part) // 2 - 49))) AS i FROM blocks WHERE len(part) >= 100)),
+hits AS (SELECT doc_id, s FROM (SELECT doc_id, s, min(doc_id) OVER (PARTITION BY k) AS least FROM windows) WHERE least < doc_id),
+edges AS (SELECT doc_id, s, coalesce(s - lag(s) OVER w > 50, true) AS begins, least(50, coalesce(lead(s) OVER w - s, 50)) AS n FROM hits WINDOW w AS (PARTITION BY doc_id ORDER BY s)),
+spans AS (SELECT doc_id, span, min(s) AS b, max(s) + 50 AS e, sum(n) AS n FROM (SELECT *, sum(CAST(begins AS INT)) OVER (PARTITION BY doc_id ORDER BY s) AS span FROM edges) GROUP BY doc_id, span),
+totals AS (SELECT doc_id, CAST(sum(n) AS BIGINT) AS n_removed, count(*) AS n_spans FROM spans GROUP BY doc_id),
+gaps AS (SELECT doc_id, b AS till, coalesce(lag(e) OVER (PARTITION BY doc_id ORDER BY b), 0) AS since FROM spans
+  UNION ALL SELECT d.doc_id, len(h) // 2, coalesce(x.e, 0) FROM d LEFT JOIN (SELECT doc_id, max(e) AS e FROM spans GROUP BY doc_id) AS x ON d.doc_id = x.doc_id),
+kept AS (SELECT doc_id, string_agg(substr(h, 2 * since + 1, 2 * (till - since)), '' ORDER BY since) AS k FROM gaps JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, CAST(len(h) // 2 AS BIGINT) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM d JOIN kept USING (doc_id) LEFT JOIN totals USING (doc_id)
+"""
