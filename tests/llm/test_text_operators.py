@@ -192,6 +192,33 @@ def test_quality_edges(spark, docs, empty, rows):
     assert scored(empty, train(docs, labels)).collect() == []
 
 
+def test_threshold_is_a_quantile():
+    """As many of the labelled lie below it as are labelled bad, also where no line parts the labels."""
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(300, N_FEATURES))
+    good = x[:, 0] + 3 * rng.normal(size=300) > 0.4
+    assert (fit(x, good).scores(x) < 0.3).sum() == (~good).sum()
+
+
+def test_words_alone_can_tell(spark):
+    """Documents whose characters are alike and whose words are not."""
+    rng = random.Random(5)
+    kinds = [["abc", "cab", "bca", "dcab"], ["acb", "bac", "cba", "bacd"]]
+    rows = [(k, " ".join(rng.choice(kinds[k % 2]) for _ in range(60))) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(200)], "doc_id long, quality int")
+    got = scored(docs, train(docs, labels)).collect()
+    assert np.mean([(r.score >= 0.3) == bool(r.doc_id % 2) for r in got if r.doc_id >= 200]) > 0.95
+
+
+def test_repeated_labels_and_rows(spark):
+    rows = [(k % 40, f"text {k % 40} " + ("good words here " if k % 2 else "!!! $$$ ### ") * 20) for k in range(80)] + [(None, "x")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k % 40, k % 2) for k in range(80)] + [(3, 0)], "doc_id long, quality int")
+    got = scored(docs, train(docs, labels)).collect()
+    assert len(got) == 82 and len({(r.doc_id, r.score) for r in got}) == 41
+
+
 def test_ranking_learns_an_order():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, N_FEATURES))
