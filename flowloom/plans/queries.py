@@ -250,7 +250,7 @@ CAST(ceil((list_sum(a[1:CAST(floor(0.8 * len(a)) AS INT)]) // len(a)) / 0.8) AS
 FROM (SELECT dstport, output, list_sort(list(octets)) AS a FROM flows GROUP BY dstport, output)""")
 def truncated_mean(spark, sf_dir):
     df = raw(spark, sf_dir, columns=["dstport", "output", "octets"])
-    return aggregates.grouped(df, ["dstport", "output"], "octets", lambda a: aggregates.truncated_mean(a, 0.8), "mean")
+    return aggregates.grouped_truncated_mean(df, ["dstport", "output"], "octets", 0.8)
 
 
 @query("""SELECT dstport, output, CASE WHEN len(a) = 1 THEN a[1] ELSE
@@ -260,7 +260,7 @@ greatest(0, coalesce(list_max(list_reduce(list_transform(range(0, k), lambda b:
 FROM (SELECT dstport, output, list(packets) AS a, CAST(ceil(sqrt(count(*))) AS BIGINT) AS k, min(packets) AS mn, max(packets) AS mx FROM flows GROUP BY dstport, output)""")
 def histogram_mode(spark, sf_dir):
     df = raw(spark, sf_dir, columns=["dstport", "output", "packets"])
-    return aggregates.grouped(df, ["dstport", "output"], "packets", aggregates.histogram_mode, "mode")
+    return aggregates.grouped_histogram_mode(df, ["dstport", "output"], "packets")
 
 
 # Operators that come with Spark, over flows
@@ -352,7 +352,7 @@ def flow_headers_all(spark, sf_dir):
 
 @query("SELECT dstport, count(*) AS n FROM flows GROUP BY dstport")
 def lenient_scan(spark, sf_dir):
-    """Whole files read alike when corrupt ones are tolerated."""
+    """Whole files read alike when corrupt ones are tolerated; of corrupt ones see outcomes."""
     return raw(spark, sf_dir, "v5_zlib", columns=["dstport"], ignoreCorruptFiles="true").groupBy("dstport").agg(F.count(F.lit(1)).alias("n"))
 
 

@@ -6,9 +6,12 @@ records.  Files whose partition columns or header's time range contradict the pr
 
 from __future__ import annotations
 
+import base64
 import glob
+import hashlib
 import json
 import os
+import zlib
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
@@ -29,6 +32,8 @@ from .schema import FlowColumn, Interface, MappedColumn
 
 NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 BATCH_RECORDS = 65536
+#: Files whose headers are read when a scan is planned.
+HEADERS = 4096
 NO_WRITE = "Write is not supported in this version of package"
 
 
@@ -41,11 +46,11 @@ def _plain(path: str) -> str:
 
 
 def opened(path: str):
-    """The file at a path: local, or on any file system that pyarrow knows."""
+    """The file at a path: local, or on any file system that pyarrow knows.  Both can seek."""
     if not _remote(path):
         return open(path, "rb")
     fs, own = pafs.FileSystem.from_uri(path)
-    return fs.open_input_stream(own)
+    return fs.open_input_file(own)
 
 
 def _hidden(name: str) -> bool:
@@ -180,7 +185,8 @@ def key_column(k: T.StructField) -> FlowColumn:
 
 @dataclass
 class Stretch(InputPartition):
-    """Records of one file: from first on, n of them or all."""
+    """The records of a file whose place among its records is from first on, n of them or all.  A file that cannot be
+    divided is read whole by its first stretch."""
 
     file: FlowFile
     first: int = 0
@@ -217,22 +223,21 @@ class FlowReaderBase:
     def stretches(self, files: list[FlowFile]) -> list[Stretch]:
         # Files that their partition columns rule out are not opened.
         files = [f for f in files if plan(self._predicate(f)).kind != "skip"]
+        size = self.scan.interface.record_size
+        each = max(1, self.scan.options.split_size // size)
+        files = self._in_time(files)
+        return [Stretch(f, k, each) if f.size > each * size else Stretch(f) for f in files for k in range(0, max(1, f.size // size), each)]
+
+    def _in_time(self, files: list[FlowFile]) -> list[FlowFile]:
+        """Without the files whose header says that no record can be in the time asked for.  Tasks look as well, so
+        that only of HEADERS files, and only where a time is asked for, are headers read here."""
+        where = self.scan.where
+        if len(files) > HEADERS or where is None or all(c.name != "unix_secs" for c in where.columns()):
+            return files
         with ThreadPoolExecutor(16) as pool:
             headers = list(pool.map(self._header, files))
-        out, size = [], self.scan.interface.record_size
-        for f, header in zip(files, headers, strict=True):
-            if header is None or not header.is_valid or header.flow_version != self.scan.interface.version:
-                out.append(Stretch(f))
-                continue
-            if self._plan(f, header).kind == "skip":
-                continue
-            body = f.size - header.header_size
-            n, each = body // size, max(1, self.scan.options.split_size // size)
-            if header.is_compressed or body % size or n <= each:
-                out.append(Stretch(f))
-            else:
-                out += [Stretch(f, k, min(each, n - k)) for k in range(0, n, each)]
-        return out
+        known = lambda h: h is not None and h.is_valid and h.flow_version == self.scan.interface.version
+        return [f for f, h in zip(files, headers, strict=True) if not known(h) or self._plan(f, h).kind != "skip"]
 
     def read(self, partition: Stretch | None) -> Iterator[pa.RecordBatch]:
         if partition is None:  # Spark asks once where there is no partition
@@ -257,11 +262,17 @@ class FlowReaderBase:
             strategy = self._plan(partition.file, header)
             if strategy.kind == "skip":
                 return
-            skip = partition.first * scan.interface.record_size
-            if skip:
-                f.seek(header.header_size + skip) if not _remote(partition.file.path) else _discard(f, skip)
+            n = partition.n
+            if n is not None:
+                size = scan.interface.record_size
+                divided = not header.is_compressed and (partition.file.size - header.header_size) % size == 0
+                if partition.first and (not divided or header.header_size + partition.first * size >= partition.file.size):
+                    return
+                n = n if divided else None
+                if partition.first:
+                    f.seek(header.header_size + partition.first * size)
             physical = [c.column for c in scan.columns]
-            for records in arrays(f, header, scan.interface, physical or [scan.interface.first.column], strategy.predicate, options.buffer, options.ignore_corrupt, partition.n):
+            for records in arrays(f, header, scan.interface, physical or [scan.interface.first.column], strategy.predicate, options.buffer, options.ignore_corrupt, n):
                 for k in range(0, len(records), BATCH_RECORDS):
                     yield self._batch(records[k : k + BATCH_RECORDS], partition.file)
 
@@ -282,40 +293,45 @@ class FlowReaderBase:
         return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _discard(f, n: int) -> None:
-    while n > 0:
-        n -= len(f.read(min(n, 1 << 20))) or n
-
-
 class FlowBatchReader(FlowReaderBase, DataSourceReader):
     def partitions(self):
         return self.stretches(self.scan.files)
 
 
+def _seen(offset: dict) -> np.ndarray:
+    """The files of an offset, as hashes in order."""
+    return np.cumsum(np.frombuffer(zlib.decompress(base64.b64decode(offset["seen"])), "<u8"), dtype=np.uint64)
+
+
+def _offset(hashes: np.ndarray) -> dict:
+    own = np.unique(hashes.astype("<u8"))
+    return {"n": len(own), "seen": base64.b64encode(zlib.compress(np.diff(own, prepend=own.dtype.type(0)).tobytes(), 6)).decode()}
+
+
 class FlowStreamReader(FlowReaderBase, DataSourceStreamReader):
-    """New files as they come, in order of time of change and path; the offset is the last of them."""
+    """New files as they come, whatever their times; the offset is the set of the files seen, as 64-bit hashes of their paths."""
 
     def __init__(self, scan: Scan, raw: dict[str, str]):
         super().__init__(scan)
         self.raw = raw
 
     @staticmethod
-    def _key(offset: dict) -> tuple[int, str]:
-        return int(offset["modified"]), offset["path"]
+    def _hash(file: FlowFile) -> int:
+        return int.from_bytes(hashlib.blake2b(file.path.encode(), digest_size=8).digest(), "little")
+
+    def _listed(self) -> dict[int, FlowFile]:
+        return {self._hash(f): f for f in listed(self.raw)}
 
     def initialOffset(self) -> dict:
-        return {"modified": "-1", "path": ""}
+        return _offset(np.zeros(0, np.uint64))
 
     def latestOffset(self) -> dict:
-        files = listed(self.raw)
-        if not files:
-            return self.initialOffset()
-        last = max(files, key=lambda f: (f.modified, f.path))
-        return {"modified": str(last.modified), "path": last.path}
+        return _offset(np.fromiter(self._listed(), np.uint64))
 
     def partitions(self, start: dict, end: dict):
-        low, high = self._key(start), self._key(end)
-        return self.stretches([f for f in listed(self.raw) if low < (f.modified, f.path) <= high])
+        files = self._listed()
+        new = np.setdiff1d(_seen(end), _seen(start), assume_unique=True).tolist()
+        return self.stretches(sorted((files[h] for h in new if h in files), key=lambda f: f.path))
 
     def commit(self, end: dict) -> None:
         pass

@@ -57,8 +57,10 @@ def blocks(f: BinaryIO, header: FlowHeader, record_size: int, buffer: int = DEFA
     size = max(record_size, buffer)
 
     def plain() -> Iterator[bytes]:
-        while block := read_fully(f, size):
+        wanted = None if n_records is None else n_records * record_size
+        while block := read_fully(f, size if wanted is None else min(size, wanted)):
             yield block
+            wanted = None if wanted is None else wanted - len(block)
 
     source = _inflated(f, size) if header.is_compressed else plain()
     try:

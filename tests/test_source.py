@@ -1,5 +1,6 @@
 """The data source in a session."""
 
+import io
 import os
 
 import numpy as np
@@ -7,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flowloom.functions.scalar import ipv4_to_long, ipv4_to_string, protocol_to_name, protocol_to_number, try_ipv4_to_long, uuid_for_string
+from flowloom.operators import aggregates
 from flowloom.operators.aggregates import histogram_mode, truncated_mean
 from flowloom.sources.api import flow_headers, flow_view, netflow5, netflow7, read_flows, register
 from flowloom.sources.library import column
@@ -214,6 +216,54 @@ def test_stream(spark, files, tmp_path):
     assert drain() == 12 and drain() == 12
 
 
+def test_stream_takes_late_files_of_earlier_times(spark, tmp_path):
+    out, state = str(tmp_path / "out"), str(tmp_path / "state")
+    put(tmp_path, "in/b", capture(sample(5, 5)))
+
+    def drain():
+        q = stream_flows(spark, str(tmp_path / "in"), ["srcport"], stringify="false").writeStream.format("parquet").option("checkpointLocation", state).trigger(availableNow=True).start(out)
+        q.awaitTermination()
+        return spark.read.parquet(out).count()
+
+    assert drain() == 5
+    put(tmp_path, "in/a", capture(sample(5, 7)))
+    os.utime(tmp_path / "in/a", (1, 1))
+    assert drain() == 12
+
+
+def test_stretches_read_their_own_part(files, monkeypatch):
+    """A stretch seeks, and reads no more than itself and the header."""
+    from flowloom.sources import datasource
+
+    class Counted(io.FileIO):
+        taken = 0
+
+        def read(self, n=-1):
+            out = super().read(n)
+            Counted.taken += len(out)
+            return out
+
+    monkeypatch.setattr(datasource, "opened", lambda path: Counted(path))
+    reader = datasource.FlowBatchReader(datasource.resolve({"path": str(files / "v5"), "version": "5", "splitSize": "6400", "buffer": "32k", "columns": "srcport"}))
+    parts = reader.partitions()
+    assert len(parts) == 10 and Counted.taken == 0
+    rows = [sum(b.num_rows for b in reader.read(p)) for p in parts]
+    assert rows == [100] * 10 and Counted.taken <= 64_000 + 10 * 100
+
+
+def test_grouped_aggregates(spark):
+    """Against the functions over arrays, for groups of all kinds."""
+    import random
+
+    rng = random.Random(4)
+    groups = [[rng.randint(-20, 40) for _ in range(rng.choice([1, 2, 3, 9, 50]))] for _ in range(40)] + [[5] * 7, [-3] * 4, [0, 100], [-9, -1]]
+    rows = spark.createDataFrame([(k if k else None, v) for k, g in enumerate(groups) for v in g], "k int, v int")
+    arrays = rows.groupBy("k").agg(F.collect_list("v").alias("a"))
+    for s in (0.3, 0.8, 1.0):
+        assert sorted(map(str, aggregates.grouped_truncated_mean(rows, ["k"], "v", s).collect())) == sorted(map(str, arrays.select("k", truncated_mean("a", s).alias("mean")).collect()))
+    assert sorted(map(str, aggregates.grouped_histogram_mode(rows, ["k"], "v").collect())) == sorted(map(str, arrays.select("k", histogram_mode("a").alias("mode")).collect()))
+
+
 def test_functions(spark):
     df = spark.createDataFrame([(4294902759, "10.0.0.1", 17, "TCP", "a"), (None, None, None, None, None)], "n long, ip string, p short, name string, s string")
     r = df.select(ipv4_to_string("n"), ipv4_to_long("ip"), protocol_to_name("p"), protocol_to_number("name"), uuid_for_string("s"), try_ipv4_to_long(F.lit("1.2.x.3"))).collect()
