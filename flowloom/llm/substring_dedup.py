@@ -3,13 +3,15 @@
 Words are the runs of other characters than [\\x20\\x09-\\x0D], unchanged.  A repeat of WINDOW words holds at least
 one whole block of BLOCK words that is aligned in the earlier document, as BLOCK is half of WINDOW.  So the
 non-overlapping blocks of all documents are indexed, and every rolling window of BLOCK words probes them (round 0).
-Where a probe hits a block that occurs elsewhere too, the repeat is extended: the windows of WINDOW words around
-the hit are compared in full, by two independent hashes of together 96 bits, and the smallest document that has them
-is found (round 1).  Runs of repeated windows are the maximal exact repeats; their words go.
+Where a probe hits a block that occurs elsewhere too, the repeat is extended: all windows of WINDOW words around the
+hit are looked up by 96 bits, a hash of 64 of the whole window and one of 32 of its halves, both from 64-bit hashes of
+its words (the words themselves are not compared again), and the smallest document that has them is found (round 1).
+Runs of repeated windows are the maximal exact repeats; their words go.
 
 A window goes if its words also start in a document of smaller doc_id, or earlier in the same row.  Rows of equal
 doc_id are not earlier than each other; rows without doc_id are later than all others.  A null text has no words;
-texts of fewer than WINDOW words lose nothing.
+texts of fewer than WINDOW words lose nothing; texts of any length are read whole.  Repeated rows are documents of one
+doc_id.  An empty table gives none.  Only doc_id and text are read, whatever other columns there are.
 """
 
 from __future__ import annotations
