@@ -1,7 +1,12 @@
 """From raw documents to token ids, in five stages.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written as Parquet and read again as the
-docs of the next.  All but the last return the columns of documents.
+docs of the next.  All but the last return the columns of documents, whatever these are called.
+
+Every stage decides by rows, never by doc_id, which may be missing or repeated.  A text that is null or empty, or has no
+letters, goes with the first stage; of texts that are equal but for white space one row stays, and of near copies one,
+that of smallest doc_id (rows without one come last, of equal ones the first); a text of any length is read whole in
+every stage.  Empty tables give an empty result.
 """
 
 from __future__ import annotations
