@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from flowloom.functions.scalar import ipv4_to_long, ipv4_to_string, protocol_to_name, protocol_to_number, uuid_for_string
 from flowloom.operators import aggregates, reports
-from flowloom.sources.api import flow_headers, flow_view, netflow5, netflow7, read_flows
+from flowloom.sources.api import flow_headers, flow_sql, flow_view, netflow5, netflow7, read_flows
 from flowloom.sources.convert import PROTOCOLS
 from flowloom.sources.library import column
 from flowloom.sources.predicate import eq, gt, is_in, lt
@@ -98,6 +98,12 @@ def sql_view_limit_ordered(spark, sf_dir):
     return spark.sql(f"SELECT {ALL} FROM ips ORDER BY unix_secs, srcip, dstip, srcport, octets LIMIT 10")
 
 
+@query(f"SELECT {sql_ip('srcip')} AS srcip, count(*) AS n FROM flows WHERE dstport = 443 OR packets > 45 GROUP BY srcip")
+def sql_narrowed(spark, sf_dir):
+    """A query in SQL whose view reads three columns, and only the records that it wants."""
+    return flow_sql(spark, "SELECT srcip, count(*) AS n FROM narrowed WHERE dstport = 443 OR packets > 45 GROUP BY srcip", {"narrowed": captures(spark, sf_dir)}, version="5")
+
+
 @query("SELECT srcip, count(*) AS n FROM flows GROUP BY srcip")
 def shortcut_v5(spark, sf_dir):
     return netflow5(spark, captures(spark, sf_dir), stringify="false").groupBy("srcip").agg(F.count(F.lit(1)).alias("n"))

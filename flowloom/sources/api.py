@@ -3,17 +3,19 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import replace
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType
 
 from flowloom.shipping import ship
 
 from .datasource import FlowSource, key_column, listed, opened, resolve
 from .decode import open_header
-from .frame import FlowFrame, Reading
+from .frame import FlowFrame, Reading, scans
 from .options import FlowOptions
 from .predicate import Predicate, to_json
 
@@ -33,14 +35,16 @@ def read_flows(spark: SparkSession, path: str | Sequence[str], columns: Sequence
     own.setdefault("ignoreCorruptFiles", spark.conf.get("spark.sql.files.ignoreCorruptFiles", "false"))
 
     def make(columns: Sequence[str] | None, where: Predicate | None) -> DataFrame:
-        more = dict(own)
+        more, reader = dict(own), spark.read.format("netflow")
         if columns is not None:
             more["columns"] = json.dumps(list(columns))
         if where is not None:
             more["where"] = json.dumps(to_json(where))
-        return spark.read.format("netflow").options(**more).load(path if isinstance(path, str) else list(path))
+        if scan is not None:  # known, so that files are listed again only when a plan is made
+            reader = reader.schema(replace(scan, options=replace(scan.options, columns=None if columns is None else tuple(columns))).schema())
+        return reader.options(**more).load(path if isinstance(path, str) else list(path))
 
-    options = FlowOptions.of(own)
+    options, scan = FlowOptions.of(own), None
     keys = ({"path": path} if isinstance(path, str) else {"paths": json.dumps(list(path))}) | own
     # The version is read once; every scan that the frame makes has it given.
     try:
@@ -70,6 +74,31 @@ def flow_view(spark: SparkSession, name: str, path: str, **options) -> None:
     spark.sql(f"CREATE OR REPLACE TEMPORARY VIEW {name} USING netflow OPTIONS ({quoted})")
 
 
+def flow_sql(spark: SparkSession, query: str, views: Mapping[str, str], **options) -> DataFrame:
+    """The result of a query over captures, each view of which reads only the columns that the query needs, and, where
+    it is read in one place, only the records that its conditions leave.  views: names and paths.
+
+    The query is planned over whole views first; what its optimised plan asks of each is then read under that name."""
+    for name, path in views.items():
+        read_flows(spark, path, **options).createOrReplaceTempView(name)
+    asked = scans(spark.sql(query))
+    for name, path in views.items():
+        frame = read_flows(spark, path, **options)
+        own = [x for x in asked if set(x.output) == set(frame.columns)] if len(views) == 1 else []
+        if own and all(x.columns is not None for x in own):
+            used = {c for x in own for c in x.columns}
+            if len(own) == 1:
+                for text in own[0].conditions:
+                    frame = frame.filter(text)
+            if isinstance(frame, FlowFrame):
+                kept = frame.select(*(c for c in frame.columns if c in used))
+                # Under the old names, in the old order: columns that are not read are null, and nothing asks for them.
+                schema = read_flows(spark, path, **options).schema
+                frame = kept.select(*(F.col(f.name) if f.name in used else F.lit(None).cast(f.dataType).alias(f.name) for f in schema))
+        frame.createOrReplaceTempView(name)
+    return spark.sql(query)
+
+
 HEADER_SCHEMA = (
     "path string, is_valid boolean, stream_version int, little_endian boolean, header_size long, flow_version int, capture_start long, capture_end long, flags long, is_compressed boolean, "
     "rotation long, n_flows long, n_lost long, n_misordered long, n_corrupt long, n_resets long, vendor int, exporter_ip long, agg_version int, agg_method int, hostname string, comments string, "

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from flowloom.functions.scalar import ipv4_to_long, ipv4_to_string, protocol_to_name, protocol_to_number, try_ipv4_to_long, uuid_for_string
 from flowloom.operators import aggregates
 from flowloom.operators.aggregates import histogram_mode, truncated_mean
-from flowloom.sources.api import flow_headers, flow_view, netflow5, netflow7, read_flows, register
+from flowloom.sources.api import flow_headers, flow_sql, flow_view, netflow5, netflow7, read_flows, register
 from flowloom.sources.library import column
 from flowloom.sources.predicate import eq, gt
 from flowloom.streaming.flows import stream_flows
@@ -159,6 +159,22 @@ def test_frames_are_dataframes(spark, files):
         df.select("srcip").filter("srcport = 1")
 
 
+def test_sql_narrows(spark, files):
+    path = str(files / "v5")
+    read_flows(spark, path, version="5").createOrReplaceTempView("whole")
+    for query in (
+        "SELECT srcip, count(*) AS n FROM {} WHERE srcport > 989 OR dstport = 65281 GROUP BY srcip ORDER BY srcip",
+        "SELECT count(*) AS n FROM {}",
+        "SELECT srcport + 1 AS x, protocol FROM {} WHERE protocol = 'UDP' AND octets < 4",
+        "SELECT * FROM {} WHERE srcport = 7",
+        "SELECT a.srcip, b.dstip FROM {0} AS a JOIN {0} AS b ON a.srcport = b.srcport WHERE a.octets < 5 AND b.packets > 2",
+    ):
+        got = flow_sql(spark, query.format("flows", "flows"), {"flows": path}, version="5")
+        assert sorted(map(str, got.collect())) == sorted(map(str, spark.sql(query.format("whole", "whole")).collect()))
+    plan = flow_sql(spark, "SELECT srcip FROM flows WHERE srcport = 7", {"flows": path}, version="5")._jdf.queryExecution().optimizedPlan().toString()
+    assert "srcip" in plan and "octets" not in plan
+
+
 def test_files_are_skipped_by_partition_columns(spark, files):
     df = netflow5(spark, str(files / "parted"))
     assert df.filter("day = 1").rdd.getNumPartitions() == 1 and df.filter("day = 1").count() == 3
