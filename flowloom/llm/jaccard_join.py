@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import Workspace, documents, lean, mix, numbered, one_fits, spread, window_hashes
-from ._exchange import Answers, Chunk, Exchange, bits_back, deltas, dealt, frame, hash_bits, starts_of, undeltas, unframe
+from ._exchange import BUCKET_BYTES, CHUNK_BYTES, Answers, Chunk, Exchange, bits_back, deltas, dealt, frame, hash_bits, starts_of, undeltas, unframe
 from .substring_dedup import Words
 
 SHINGLE = 4
@@ -544,9 +544,9 @@ def join_components(rows: DataFrame, ws: Workspace, num: int, den: int) -> DataF
     return labels
 
 
-def linked_documents(docs: DataFrame, ws: Workspace, shingle: int, numerator: int, denominator: int, row: str | None = None) -> tuple[DataFrame, DataFrame]:
+def linked_documents(docs: DataFrame, ws: Workspace, shingle: int, numerator: int, denominator: int, row: str | None = None, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> tuple[DataFrame, DataFrame]:
     """The documents: row (if docs has a column of that name), doc_id, set_key, n, run; and for each set that may link, its label."""
-    exchange = Exchange(docs, ws, row=row)
+    exchange = Exchange(docs, ws, chunk_bytes, bucket_bytes, row)
     bits = min(56, hash_bits(exchange.n_bytes // 8) + 8)
     exchange.round(ask_signatures(shingle, numerator, denominator, bits), answer_signatures)
     exchange.round(ask_live(shingle, numerator, denominator, bits), answer_live)
@@ -557,9 +557,9 @@ def linked_documents(docs: DataFrame, ws: Workspace, shingle: int, numerator: in
     return rows.filter("kind = 'doc'").select("row", "doc_id", "set_key", "n", F.pmod(own, F.lit(RUNS)).cast("int").alias("run")), labels
 
 
-def jaccard_join(docs: DataFrame, ws: Workspace, shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR) -> DataFrame:
+def jaccard_join(docs: DataFrame, ws: Workspace, shingle: int = SHINGLE, numerator: int = NUMERATOR, denominator: int = DENOMINATOR, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row for each document: doc_id, n_shingles, component_id."""
-    members, labels = linked_documents(docs, ws, shingle, numerator, denominator)
+    members, labels = linked_documents(docs, ws, shingle, numerator, denominator, None, chunk_bytes, bucket_bytes)
     # Down to the documents by (set, run), so that a set which a third of all documents have is spread.
     runs = members.filter("n > 0").groupBy("set_key", "run").agg(F.min("doc_id").alias("least"))
     by_set = runs.groupBy("set_key").agg(F.min("least").alias("least")).join(labels, "set_key", "left").withColumn("label", F.coalesce("label", "set_key"))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import Workspace, documents, gathered, mix, window_hashes
-from ._exchange import Answers, Chunk, Exchange, bits_back, deltas, dealt, frame, hash_bits, small_ids, starts_of, undeltas, unframe
+from ._exchange import BUCKET_BYTES, CHUNK_BYTES, Answers, Chunk, Exchange, bits_back, deltas, dealt, frame, hash_bits, small_ids, starts_of, undeltas, unframe
 
 WINDOW = 20
 BLOCK = 10
@@ -207,10 +207,10 @@ def span_lists(begins: np.ndarray, ends: np.ndarray, rows: np.ndarray, starts: n
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(per)]), pa.int32()), pa.StructArray.from_arrays([pa.array(begins - starts[own], pa.int64()), pa.array(ends - starts[own], pa.int64())], names=["begin", "end"]))
 
 
-def substring_dedup(docs: DataFrame, ws: Workspace, window: int = WINDOW) -> DataFrame:
+def substring_dedup(docs: DataFrame, ws: Workspace, window: int = WINDOW, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row for each document: doc_id, n_words, n_removed, spans (words removed, from begin to before end), kept (text)."""
     block = window // 2
-    exchange = Exchange(docs, ws)
+    exchange = Exchange(docs, ws, chunk_bytes, bucket_bytes)
     bits, buckets = hash_bits(exchange.n_bytes // 5), exchange.buckets
     exchange.round(ask_blocks(block, bits), answer_blocks)
     exchange.round(ask_windows(window, block, bits), answer_windows)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ._common import Workspace, documents, gathered, mix, spread
-from ._exchange import Answers, Chunk, Exchange, bits_back, deltas, dealt, frame, hash_bits, small_ids, starts_of, undeltas, unframe
+from ._exchange import BUCKET_BYTES, CHUNK_BYTES, Answers, Chunk, Exchange, bits_back, deltas, dealt, frame, hash_bits, small_ids, starts_of, undeltas, unframe
 from .substring_dedup import covered, runs_of, span_lists
 
 DEPTH = 50
@@ -271,9 +271,9 @@ def repeated(chunk: Chunk, answers: Answers, depth: int, bits: int, buckets: int
     return covered(len(chunk.data), np.concatenate(starts), np.concatenate(lengths)), a.doc
 
 
-def suffix_dedup(docs: DataFrame, ws: Workspace, depth: int = DEPTH, crowd: int = CROWD) -> DataFrame:
+def suffix_dedup(docs: DataFrame, ws: Workspace, depth: int = DEPTH, crowd: int = CROWD, chunk_bytes: int = CHUNK_BYTES, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row for each document: doc_id, n_bytes, n_removed, spans (bytes removed, from begin to before end), kept (bytes)."""
-    exchange = Exchange(docs, ws)
+    exchange = Exchange(docs, ws, chunk_bytes, bucket_bytes)
     bits, buckets = min(48, hash_bits(exchange.n_bytes // 10)), exchange.buckets
     exchange.round(ask_anchors(depth, bits), answer_anchors(crowd))
     exchange.round(ask_suffixes(depth, bits), answer_suffixes(depth))

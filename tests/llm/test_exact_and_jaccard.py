@@ -129,6 +129,11 @@ def test_jaccard_groups_around_a_missing_middle(spark, ws):
     assert got == want and 20 < len({c for _, _, c in want}) < 120
 
 
+def test_jaccard_over_many_chunks(spark, docs, rows, ws):
+    got = jaccard_join(docs, ws, chunk_bytes=4000, bucket_bytes=6000).collect()
+    assert Counter(map(tuple, got)) == brute_components(rows)
+
+
 def test_jaccard_empty(empty, ws):
     assert jaccard_join(empty, ws).collect() == []
 

@@ -7,7 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from flowloom.llm._common import window_hashes
+from flowloom.llm._common import Workspace, window_hashes
 from flowloom.llm._exchange import frame as framed
 from flowloom.llm._exchange import unframe
 from flowloom.llm.substring_dedup import substring_dedup
@@ -68,6 +68,29 @@ def test_bytes(docs, rows, ws, depth, crowd):
     assert Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got) == brute_bytes(rows, depth)
 
 
+def test_many_chunks_and_buckets(docs, rows, spark):
+    """Nothing depends on where documents and hashes lie; a doc_id of the greatest number is one."""
+    small = {"chunk_bytes": 4000, "bucket_bytes": 6000}
+    own = [*rows, ((1 << 63) - 1, "alpha beta " * 30), ((1 << 63) - 1, "zeta " * 30)]
+    table = docs.select("doc_id", "text").unionByName(spark.createDataFrame(own[-2:], "doc_id long, text string"))
+    words = substring_dedup(table, Workspace(spark, "test"), 20, **small).collect()
+    # In the brute force both it and rows without doc_id are last; texts are such that none of these share a window first.
+    late = [(i if i != (1 << 63) - 1 else LAST, t) for i, t in own]
+    want = Counter({(i if i != LAST else (1 << 63) - 1, *x): n for (i, *x), n in brute_words(late, 20).items()})
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in words) == want
+    got = suffix_dedup(table, Workspace(spark, "test"), 50, **small).collect()
+    want = Counter({(i if i != LAST else (1 << 63) - 1, *x): n for (i, *x), n in brute_bytes(late, 50).items()})
+    assert Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), hashlib.sha256(bytes(r.kept)).hexdigest()) for r in got) == want
+
+
+def test_words_of_any_length(spark, ws):
+    """Words longer than the table of places, and one of a megabyte, beside each other and over white space of all kinds."""
+    long = ["a" * n for n in (63, 64, 65, 200)] + ["b" + "a" * 63, "a" * 63 + "b", "x" * 1_000_000]
+    rows = [(1, " ".join(long * 4)), (2, "\t".join(long * 4) + "\x0b"), (3, "\n" + "\x0c\r".join(reversed(long * 4))), (4, "é" * 40 + " " + " ".join(long * 3))]
+    got = substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), ws, 20).collect()
+    assert Counter((r.doc_id, r.n_words, r.n_removed, r.kept) for r in got) == brute_words(rows, 20)
+
+
 def test_empty_tables(empty, ws):
     assert substring_dedup(empty, ws).collect() == []
 

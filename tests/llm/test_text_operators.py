@@ -134,6 +134,20 @@ def test_pages(spark, sf):
     assert len(got) == spark.read.parquet(f"{sf}/pages.parquet").count() and np.mean([r.kept for r in got]) > 0.95
 
 
+def test_pages_truth(spark, sf, tmp_path):
+    """The language of pages whose markup is hidden or wrong is known from the text and the rest."""
+    pages = spark.read.parquet(f"{sf.replace('0.001', '0.01')}/pages.parquet")
+    declared = F.lower(F.regexp_extract("html", r"(?i)<html[^>]*?\blang\s*=\s*[\"']?([a-z]{2,3})", 1))
+    sized = F.length(F.regexp_replace("html", r"(?is)<(script|style)\b.*?</\1>|<[^>]*>", "")) > 400
+    truth = {r.page_id: (r.lang, r.long) for r in pages.select("page_id", declared.alias("lang"), sized.alias("long")).collect()}
+    hidden = F.when(F.col("page_id") % 5 == 0, F.regexp_replace("html", r"(?i)\blang\s*=", "x=")).when(F.col("page_id") % 5 == 1, F.regexp_replace("html", r"(?i)(<html[^>]*?\blang\s*=\s*[\"']?)[a-z]{2,3}", "$1de")).otherwise(F.col("html"))
+    pages.withColumn("html", hidden).write.parquet(str(tmp_path / "pages.parquet"))
+    got = [(r, *truth[r.page_id]) for r in pages_language_id(spark, str(tmp_path)).collect()]
+    for k in (0, 1, 2):
+        own = [r.lang_id == lang for r, lang, long in got if r.page_id % 5 == k and lang and long]
+        assert len(own) > 10 and np.mean(own) > 0.9, k
+
+
 def test_language_edges(spark, docs, empty, ws):
     got = {r.doc_id: r for r in identify(docs, ws, **source_parts(docs["source"])).collect()}
     assert not got[501].kept and not got[502].kept and not got[500].kept and got[506].kept

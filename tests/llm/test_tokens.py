@@ -151,3 +151,25 @@ def test_files(spark, docs, rows, library, ws):
 def test_files_empty(spark, empty, ws):
     counts = ws.table(write_shards(empty, f"{ws.root}/tokens", 2), "counts")
     assert read_shards(bases(counts), f"{ws.root}/tokens", 2).collect() == []
+
+
+def test_named_queries(spark, sf, library, reference):
+    """op6 and op9 over the whole table, against the libraries."""
+    from flowloom.llm.queries import QUERIES
+
+    docs = sorted((r.doc_id, r.text or "") for r in spark.read.parquet(f"{sf}/documents.parquet").collect())
+    digest = lambda ids: hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
+    want = [(i, len(ids := reference.encode_ordinary(t)), digest(ids), hashlib.sha256(t.encode()).hexdigest()) for i, t in docs]
+    assert sorted((r.doc_id, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in QUERIES["op6_bpe"](spark, sf).collect()) == want
+    start, want = 0, []
+    for i, t in docs:
+        ids = [*library.encode(t, add_special_tokens=False).ids, 2]
+        want.append((i, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    assert sorted((r.doc_id, r.start, r.n_tokens, r.ids_crc32) for r in QUERIES["op9_token_files"](spark, sf).collect()) == want
+
+
+def test_the_greatest_doc_id_is_not_null(spark, ws):
+    docs = spark.createDataFrame([((1 << 63) - 1, "a b"), (None, "c"), (3, "d")], "doc_id long, text string")
+    counts = ws.table(write_shards(docs, f"{ws.root}/tokens", 2), "counts")
+    assert [r.doc_id for r in sorted(read_shards(bases(counts), f"{ws.root}/tokens", 2).collect(), key=lambda r: r.start)] == [3, (1 << 63) - 1, None]
