@@ -475,16 +475,25 @@ def grouped(rows: DataFrame, ws: Workspace) -> DataFrame:
 
 def hard_rows(found: DataFrame, num: int, den: int) -> DataFrame:
     """The elements of differences by which sets of a group may yet meet: group, element, set_key, n, d (size of the
-    difference), place (from the rarest on), link, least (the smallest difference of a set that does not link with the pivot), width (of a class of sizes)."""
+    difference), place (from the rarest on), link, least (the smallest difference of a set that does not link with the
+    pivot), width (of a class of sizes).
+
+    Sets that link differ by D at most in the size of their difference.  So a group falls into windows of two bands of
+    such sizes each, and an element is as rare as it is within a window: sets that share little with the pivot, and
+    have all of it in their difference, are in windows of their own."""
     bound = lambda both: F.floor(both * F.lit(den - num) / F.lit(den + num)).cast("long")
-    of_group = found.groupBy("group").agg(F.min(F.when(~F.col("link"), F.size("delta"))).alias("least"), F.greatest(F.lit(1), F.floor(bound(2 * F.max("pivot_n")) / CLASSES)).cast("long").alias("width"))
-    some = found.filter("size > 2").join(of_group.filter("least IS NOT NULL"), "group").withColumn("d", F.size("delta").cast("long"))
+    most = bound(F.col("n") + F.floor(F.col("n") * den / num))
+    sized = found.filter("size > 2").withColumn("d", F.size("delta").cast("long")).withColumn("most", most)
+    of_group = sized.groupBy("group").agg(F.min(F.when(~F.col("link"), F.col("d"))).alias("least"), F.greatest(F.lit(1), F.max("most")).alias("reach"), F.greatest(F.lit(1), F.floor(bound(2 * F.max("pivot_n")) / CLASSES)).cast("long").alias("width"))
+    band = F.floor(F.col("d") / F.col("reach")).cast("int")
+    window = F.explode(F.when(band > 0, F.array(band, band - 1)).otherwise(F.array(band)))
+    some = sized.join(of_group.filter("least IS NOT NULL"), "group").withColumn("window", window)
+    some = some.withColumn("group", F.struct("group", "window")).select("group", "set_key", "n", "d", "link", "least", "width", "most", "delta")
     elements = some.select("group", "set_key", F.explode("delta").alias("element"))
     shared = elements.groupBy("group", "element").agg(F.count(F.lit(1)).alias("many")).filter("many > 1")
     # The difference is as large as its document at most.
-    own = elements.join(shared, ["group", "element"]).groupBy("set_key").agg(F.sort_array(F.collect_list(F.struct("many", "element"))).alias("own"))
-    most = bound(F.col("n") + F.floor(F.col("n") * den / num))
-    out = some.select("set_key", "group", "n", "d", "link", "least", "width", most.alias("most")).join(own, "set_key")
+    own = elements.join(shared, ["group", "element"]).groupBy("group", "set_key").agg(F.sort_array(F.collect_list(F.struct("many", "element"))).alias("own"))
+    out = some.drop("delta").join(own, ["group", "set_key"])
     alone = F.col("d") - F.size("own")
     out = out.filter(alone <= F.col("most")).select("*", alone.alias("alone"), F.posexplode("own").alias("at", "entry"))
     place = F.col("at") + F.col("alone")
