@@ -36,6 +36,8 @@ from .substring_dedup import covered, runs_of, span_lists
 DEPTH = 50
 #: Spans of one gram, from different chunks, beyond which their windows are dealt one by one.
 CROWD = 2048
+#: Suffixes that are sorted at once.
+PART_OF_SORT = 1 << 20
 UNIQUE, WHOLE, PART, CROWDED = 0, 1, 2, 3
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _ODD_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -46,12 +48,16 @@ _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 def _powers(base: np.uint64, n: int) -> np.ndarray:
     out = np.full(n, base)
     out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    return np.cumprod(out, out=out)
 
 
 def _window_hashes(data: np.ndarray, lengths: tuple[int, ...]) -> list[np.ndarray]:
     """Hashes of all windows of each length, from one prefix sum of the bytes' numbers times powers modulo 2^64."""
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[data] * _powers(_ODD, len(data)), dtype=np.uint64)])
+    sums = np.zeros(len(data) + 1, np.uint64)
+    terms = _powers(_ODD, len(data))
+    terms *= _BYTE[data]
+    np.cumsum(terms, out=sums[1:])
+    del terms
     back = _powers(_ODD_BACK, len(data))
     out = []
     for length in lengths:
@@ -194,45 +200,74 @@ def radix_groups(data: np.ndarray, at: np.ndarray, depth: int, digit: int = 8) -
 
     Returns those that are equal to another through depth (as positions in at), and their group: equal suffixes have
     the same number.  A pass orders the suffixes of every group by their next digit; those alone in a group leave."""
-    who, group = np.arange(len(at)), np.zeros(len(at), np.int64)
+    who, group = np.arange(len(at), dtype=np.int32), np.zeros(len(at), np.int32)
     for begin in range(0, depth, digit):
         width = min(digit, depth - begin)
         value = np.zeros(len(who), np.uint64)
         for k in range(width):
-            value = value << np.uint64(8) | data[at[who] + begin + k].astype(np.uint64)
-        order = np.lexsort((value, group))
+            value <<= np.uint64(8)
+            value |= data[at[who] + (begin + k)]
+        order = np.argsort(value) if not begin else np.lexsort((value, group))
         who, group, value = who[order], group[order], value[order]
         if not len(who):
             break
         new = starts_of(group, value)
         sizes = np.diff(np.append(np.flatnonzero(new), len(who)))
-        group = np.cumsum(new) - 1
+        group = (np.cumsum(new) - 1).astype(np.int32)
         stay = sizes[group] > 1
         who, group = who[stay], group[stay]
     return who, group
 
 
+def parted(data: np.ndarray, at: np.ndarray, most: int = PART_OF_SORT) -> Iterator[np.ndarray]:
+    """The first pass, by two bytes: positions in at of suffixes that begin in one range of these, about most of them at a
+    time, so that the passes behind it hold no more than that (or all that begin alike)."""
+    if len(at) <= most:
+        yield np.arange(len(at))
+        return
+    first = data[at].astype(np.uint16) << np.uint16(8) | data[at + 1]
+    ends = np.cumsum(np.bincount(first, minlength=1 << 16))
+    low, before = 0, 0
+    while before < len(at):
+        high = max(low + 1, int(np.searchsorted(ends, before + most, side="right")))
+        if ends[high - 1] > before:
+            yield np.flatnonzero((first >= low) & (first < high))
+        low, before = high, int(ends[high - 1])
+
+
 def answer_suffixes(depth: int):
     def answer(_: int, bodies: list[bytes]) -> list[bytes]:
         """A bit for each window: a smaller document has it."""
         parts = [unframe(b) for b in bodies]
         count = np.concatenate([p[0] for p in parts]).astype(np.int64)
-        ids = np.repeat(np.concatenate([p[1].astype(np.int64) for p in parts]), count)
+        ids = np.concatenate([p[1].astype(np.int64) for p in parts])
         data = np.concatenate([p[2] for p in parts])
+        ends = np.cumsum([int(p[0].sum()) for p in parts])
+        sizes_of = [int(p[0].sum()) for p in parts]
+        del parts
         sizes = count + depth - 1
-        at = np.repeat(np.cumsum(sizes) - sizes, count) + spread(count)
-        who, group = radix_groups(data, at, depth)
+        kind = np.int32 if len(data) < 1 << 31 else np.int64
+        run = np.repeat(np.arange(len(count), dtype=np.int32), count)
+        at = (np.cumsum(sizes) - sizes - (np.cumsum(count) - count)).astype(kind)[run]
+        at += np.arange(len(at), dtype=kind)
         out = np.zeros(len(at), bool)
-        if len(who):
-            first = starts_of(group)
-            least = np.minimum.reduceat(ids[who], np.flatnonzero(first))
-            out[who] = least[np.cumsum(first) - 1] < ids[who]
-        ends = np.cumsum([int(p[0].sum()) for p in parts])
-        return [np.packbits(out[e - int(p[0].sum()) : e]).tobytes() for e, p in zip(ends, parts, strict=True)]
+        for some in parted(data, at):
+            who, group = radix_groups(data, at[some], depth)
+            if len(who):
+                who = some[who]
+                own = ids[run[who]]
+                least = np.minimum.reduceat(own, np.flatnonzero(starts_of(group)))
+                out[who] = least[group_number(group)] < own
+        return [np.packbits(out[e - n : e]).tobytes() for e, n in zip(ends, sizes_of, strict=True)]
 
     return answer
 
 
+def group_number(group: np.ndarray) -> np.ndarray:
+    """Ascending groups numbered from 0 without gaps."""
+    return np.cumsum(starts_of(group)) - 1
+
+
 def repeated(chunk: Chunk, answers: Answers, depth: int, bits: int, buckets: int) -> tuple[np.ndarray, np.ndarray]:
     """Which bytes of the chunk go; the document of each byte."""
     a = Anchors(chunk, depth, bits)

@@ -11,7 +11,7 @@ from flowloom.llm._common import Workspace, window_hashes
 from flowloom.llm._exchange import frame as framed
 from flowloom.llm._exchange import unframe
 from flowloom.llm.substring_dedup import substring_dedup
-from flowloom.llm.suffix_dedup import radix_groups, suffix_dedup
+from flowloom.llm.suffix_dedup import parted, radix_groups, suffix_dedup
 
 LAST = 1 << 62
 
@@ -114,6 +114,16 @@ def test_radix_groups_are_the_equal_windows():
         assert sorted(map(sorted, got.values())) == sorted(v for v in want.values() if len(v) > 1)
 
 
+def test_parts_of_a_sort_are_the_whole():
+    rng = np.random.default_rng(7)
+    data = np.concatenate([rng.integers(97, 100, 4000), np.full(900, 97)]).astype(np.uint8)
+    at = np.arange(len(data) - 9)
+    parts = list(parted(data, at, 300))
+    assert len(parts) > 3 and sorted(np.concatenate(parts).tolist()) == at.tolist()
+    of = [{bytes(data[at[k] : at[k] + 2]) for k in p} for p in parts]
+    assert sum(map(len, of)) == len(set().union(*of))
+
+
 def test_window_hashes_depend_on_the_window_alone():
     rng = np.random.default_rng(2)
     s = rng.integers(0, 3, 500).astype(np.uint64)
