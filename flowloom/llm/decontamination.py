@@ -178,12 +178,24 @@ def _bands(index: Index, doc: np.ndarray, passage: np.ndarray, diagonal: np.ndar
     return tuple(np.concatenate([x[i] for x in out]) if out else np.zeros(0, np.int64) for i in range(3))
 
 
+def exact(region: np.ndarray, passage: np.ndarray) -> int:
+    """Where the passage first stands in the region as it is, or -1."""
+    whole, part = region.tobytes(), passage.tobytes()
+    k = whole.find(part)
+    while k >= 0 and k % passage.itemsize:
+        k = whole.find(part, k + 1)
+    return k // passage.itemsize if k >= 0 else -1
+
+
 def align(text: np.ndarray, passage: np.ndarray, low: int, width: int, edits: int) -> tuple[int, int, int]:
     """The fewest edits between the passage and a part of the text, on diagonals from low - edits to low + width + edits;
     where that part begins (at the earliest) and ends.  Edits beyond the budget count as one more than it."""
     cells = width + 2 * edits + 1
     base = low - edits
     far = edits + 1
+    if (at := exact(text[max(0, base) : max(0, base + cells + len(passage) - 1)], passage)) >= 0:
+        at += max(0, base)
+        return 0, at, at + len(passage)
     span = np.arange(cells)
     costs = np.where((base + span >= 0) & (base + span <= len(text)), 0, far)  # any start is free
     begin = base + span
