@@ -67,7 +67,7 @@ class PartCache(dict):
     It holds about so many bytes at most, and starts anew when a batch begins beyond that.  Where parts is false, or a
     text holds one of the strings in whole, that text is one part."""
 
-    def __init__(self, encode, most: int = 64 << 20, parts: bool = True, whole: tuple[str, ...] = ()):
+    def __init__(self, encode, most: int = 200 << 20, parts: bool = True, whole: tuple[str, ...] = ()):
         super().__init__()
         self.encode, self.most, self.parts, self.whole = encode, most, parts, whole
         self._clear()
