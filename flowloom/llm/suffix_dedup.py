@@ -11,7 +11,7 @@ that are equal within it.  Back comes whether the anchor's gram is nowhere else,
 Round 1.  All other spans are sent as bytes, and their windows are sorted by most-significant-digit passes of eight
 bytes: each pass orders the suffixes of every group by their next digit, and suffixes alone in their group leave.
 After the pass that reaches DEPTH, groups hold exactly the equal windows, and each is told whether a smaller document
-has it.  Spans whose gram very many chunks have would fill one task; their windows are dealt one by one by their own
+has it.  Spans of equal bytes are sorted once.  Spans whose gram very many chunks have would fill one task; their windows are dealt one by one by their own
 hash, each distinct one once for each chunk.
 
 A byte goes if a window that covers it also starts in a document of smaller doc_id.  Rows without doc_id come after
@@ -242,23 +242,33 @@ def answer_suffixes(depth: int):
         count = np.concatenate([p[0] for p in parts]).astype(np.int64)
         ids = np.concatenate([p[1].astype(np.int64) for p in parts])
         data = np.concatenate([p[2] for p in parts])
-        ends = np.cumsum([int(p[0].sum()) for p in parts])
-        sizes_of = [int(p[0].sum()) for p in parts]
+        windows = [int(p[0].sum()) for p in parts]
         del parts
-        sizes = count + depth - 1
-        kind = np.int32 if len(data) < 1 << 31 else np.int64
-        run = np.repeat(np.arange(len(count), dtype=np.int32), count)
-        at = (np.cumsum(sizes) - sizes - (np.cumsum(count) - count)).astype(kind)[run]
-        at += np.arange(len(at), dtype=kind)
-        out = np.zeros(len(at), bool)
+        # Spans of equal bytes are sorted once, for the smallest document that has them; for the others all is settled.
+        ends, raw, seen = np.cumsum(count + depth - 1).tolist(), data.tobytes(), {}
+        same = np.fromiter((seen.setdefault(raw[e - n : e], k) for k, (e, n) in enumerate(zip(ends, (count + depth - 1).tolist(), strict=True))), np.int64, len(count))
+        del raw, seen
+        least = ids.copy()
+        np.minimum.at(least, same, ids)
+        own = np.flatnonzero(same == np.arange(len(count)))
+        out = np.repeat(ids > least[same], count)
+        run = np.repeat(own, count[own])
+        place = spread(count[own])
+        at = (np.array(ends, np.int64) - count - depth + 1)[run] + place
+        hit = np.zeros(len(at), bool)
         for some in parted(data, at):
             who, group = radix_groups(data, at[some], depth)
             if len(who):
                 who = some[who]
-                own = ids[run[who]]
-                least = np.minimum.reduceat(own, np.flatnonzero(starts_of(group)))
-                out[who] = least[group_number(group)] < own
-        return [np.packbits(out[e - n : e]).tobytes() for e, n in zip(ends, sizes_of, strict=True)]
+                of = least[run[who]]
+                first = np.minimum.reduceat(of, np.flatnonzero(starts_of(group)))
+                hit[who] = first[group_number(group)] < of
+        # What holds for the smallest document that has a span holds for the others.
+        of_own = np.cumsum(count[own]) - count[own]
+        back = np.searchsorted(own, same)
+        out |= hit[np.repeat(of_own[back], count) + spread(count)]
+        bounds = np.cumsum(windows)
+        return [np.packbits(out[e - n : e]).tobytes() for e, n in zip(bounds, windows, strict=True)]
 
     return answer
 
