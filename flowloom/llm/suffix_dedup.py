@@ -4,7 +4,8 @@ A suffix counts only through its first DEPTH bytes, its window.  Repeated window
 through that depth, has as groups of equal suffixes; only those that may be in such a group are ever sorted:
 
 Round 0 is a filter.  Each window holds DEPTH - GRAM + 1 grams; its anchor is the one of least hash, the leftmost of
-these.  Windows with one anchor are a run, and the bytes of the run are its span.  Every chunk sends each distinct
+these.  Windows with one anchor are a run, and the bytes of the run are its span.  Grams are dealt to buckets by a
+scrambled hash, since least hashes lie close together.  Every chunk sends each distinct
 (hash of the anchor's gram, hash of the span) once, with its smallest document, after it has compared the bytes of spans
 that are equal within it.  Back comes whether the anchor's gram is nowhere else, so that no window of the run is either.
 
@@ -103,7 +104,8 @@ class Anchors:
         begin, anchor = starts[first], anchors[first]
         count = np.diff(np.append(first, len(starts)))
         high = np.uint64(((1 << bits) - 1) << (64 - bits))
-        own = grams[anchor] & high
+        # Anchors are least hashes, so most of them are small: they are scrambled, or the first buckets would get nearly all.
+        own = mix(grams[anchor]) & high
         span = self.windows[begin] * np.uint64(0x9FB21C651E98DF25) + self.windows[begin + count - 1] * np.uint64(0xD1342543DE82EF95)
         span += (count * 256 + anchor - begin).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
         span = mix(span)

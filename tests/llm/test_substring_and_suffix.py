@@ -8,10 +8,10 @@ import numpy as np
 import pytest
 
 from flowloom.llm._common import Workspace, window_hashes
+from flowloom.llm._exchange import Chunk, unframe
 from flowloom.llm._exchange import frame as framed
-from flowloom.llm._exchange import unframe
 from flowloom.llm.substring_dedup import substring_dedup
-from flowloom.llm.suffix_dedup import parted, radix_groups, suffix_dedup
+from flowloom.llm.suffix_dedup import Anchors, ask_anchors, ask_suffixes, parted, radix_groups, suffix_dedup
 
 LAST = 1 << 62
 
@@ -124,6 +124,21 @@ def test_parts_of_a_sort_are_the_whole():
     assert sum(map(len, of)) == len(set().union(*of))
 
 
+def test_buckets_are_of_like_size():
+    """An anchor is the gram of least hash, yet no bucket gets many times its share of grams, or of spans to sort."""
+    rng = np.random.default_rng(11)
+    data = rng.integers(32, 127, 400_000).astype(np.uint8)
+    chunk = Chunk(0, np.arange(100), np.arange(101) * 4000, data, np.zeros(100, bool), np.zeros(0, np.int64))
+    buckets = 40
+    asked = {b: len(unframe(body)[0]) for b, body in ask_anchors(50, 40)(chunk, {}, buckets)}
+    assert len(asked) == buckets and max(asked.values()) < 1.5 * sum(asked.values()) / buckets
+    part = {(0, b): framed(np.full(n, 2, np.uint8)) for b, n in asked.items()}
+    sent = {b: unframe(body) for b, body in ask_suffixes(50, 40)(chunk, part, buckets)}
+    sizes = [len(x[2]) for x in sent.values()]
+    assert len(sizes) == buckets and max(sizes) < 1.5 * sum(sizes) / buckets
+    assert sum(len(x[0]) for x in sent.values()) == len(Anchors(chunk, 50, 40).gram)
+
+
 def test_window_hashes_depend_on_the_window_alone():
     rng = np.random.default_rng(2)
     s = rng.integers(0, 3, 500).astype(np.uint64)
