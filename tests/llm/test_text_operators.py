@@ -3,9 +3,11 @@
 import random
 import re
 import time
+import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -13,7 +15,7 @@ from flowloom.llm import decontamination as dc
 from flowloom.llm import pii
 from flowloom.llm._common import Workspace
 from flowloom.llm.language_id import identify, language_stage, op8_language_id, pages_language_id, source_parts
-from flowloom.llm.quality import N_FEATURES, fit, op4_quality, scored, train
+from flowloom.llm.quality import N_FEATURES, N_SURFACE, RIDGE, expand, features, fit, op4_quality, ranked, scored, train
 from tests.llm.conftest import frame
 
 
@@ -249,6 +251,37 @@ def test_pairs_are_a_parameter():
     assert not np.allclose(few, usual) and np.allclose(usual, same)
 
 
+def test_all_pairs_are_learnt_from():
+    """The gradient of the loss over all pairs, each made, is 0 where learning ends."""
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(500, N_FEATURES))
+    good = x[:, 0] + x[:, 3] + rng.normal(size=500) > 0.5
+    m = fit(x, good)
+    z = expand(x, m.mean, m.scale)
+    d = (z[good][:, None, :] - z[~good][None, :, :]).reshape(-1, N_FEATURES + N_SURFACE)
+    assert np.abs(d.T @ (1 / (1 + np.exp(d @ m.weights))) / len(d) - RIDGE * m.weights).max() < 1e-5
+
+
+def test_all_labels_are_learnt_from(spark):
+    """One label in 25,000 that no other is like counts, whatever its doc_id hashes to; and the threshold is exact."""
+    rows = [(k, "fine words" if k % 2 else "fine w0rds") for k in range(25_000)]
+    odd = [(k, f"??? {k}") for k in range(30_000, 30_400)]
+    docs = spark.createDataFrame(rows + odd, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k, _ in rows] + [(k, 0) for k, _ in odd], "doc_id long, quality int")
+    m, usable = train(docs, labels), [k for k, _ in rows + odd if zlib.crc32(str(k).encode()) % 5]
+    x = features(pa.array([t for k, t in rows + odd if zlib.crc32(str(k).encode()) % 5])).astype(np.float32).astype(float)
+    assert len(x) > 20_000 and np.allclose(m.mean, x.mean(axis=0), atol=1e-7) and np.allclose(m.scale, x.std(axis=0) + 1e-9, atol=1e-6)
+    same = fit(x, np.array([k < 30_000 and k % 2 == 1 for k in usable]))
+    assert np.allclose(m.weights, same.weights, atol=1e-3) and abs(m.cut - same.cut) < 1e-2
+
+
+def test_ranked_is_exact(spark):
+    rng = np.random.default_rng(4)
+    values = np.concatenate([rng.normal(size=3000) * 1e-6, np.full(500, 0.25), rng.normal(size=500) * 1e3])
+    table = spark.createDataFrame([(float(v),) for v in values], "v double")
+    assert all(ranked(table, "v", k) == np.sort(values)[k] for k in (0, 1700, 3300, 3999))
+
+
 @pytest.mark.parametrize("size", [2, 3, 10, 97, 1000])
 def test_feistel_is_a_permutation(size):
     assert sorted(pii.permute(k, size, b"key", "t") for k in range(size)) == list(range(size))
