@@ -10,7 +10,9 @@ Only for the patterns in SPLITS is that so: texts go whole to tokenizers with ot
 
 from __future__ import annotations
 
+import gc
 import re
+from itertools import chain
 
 import numpy as np
 
@@ -57,15 +59,16 @@ def cut(whole: str) -> tuple[str, str]:
     return (core, whole[len(core) :]) if core != whole and core[-1:].isalpha() else (whole, "")
 
 
-#: Bytes that Python's objects and numpy's arrays take for a part and for a core, beside their characters.
-ENTRY, CORE = 260, 220
+#: Bytes that Python's objects and numpy's arrays take for a part, beside its characters.
+ENTRY = 260
 
 
 class PartCache(dict):
     """Numbers for parts, and the ids of each; encode(list of new strings) gives a list of sequences of ids.
 
-    It holds about so many bytes at most, and starts anew when a batch begins beyond that.  Where parts is false, or a
-    text holds one of the strings in whole, that text is one part."""
+    A part that ends in a letter is encoded, one with marks behind it is put together from that and the marks, which are
+    parts themselves.  It holds about so many bytes at most, and starts anew when a batch begins beyond that.  Where
+    parts is false, or a text holds one of the strings in whole, that text is one part."""
 
     def __init__(self, encode, most: int = 200 << 20, parts: bool = True, whole: tuple[str, ...] = ()):
         super().__init__()
@@ -74,49 +77,64 @@ class PartCache(dict):
 
     def _clear(self) -> None:
         self.clear()
-        self.cores: dict[str, int] = {"": 0}
-        self.new_cores: list[str] = []
-        self.pairs: list[tuple[int, int]] = []
+        self.new: list[Key] = []
         self.held = 0
         self.flat, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.starts, self.lengths = np.zeros(1, np.int64), np.zeros(1, np.int64)
-        self.first, self.second = np.zeros(0, np.int64), np.zeros(0, np.int64)
-
-    def _core(self, s: str) -> int:
-        k = self.cores.get(s)
-        if k is None:
-            k = self.cores[s] = len(self.cores)
-            self.new_cores.append(s)
-            self.held += 2 * len(s) + CORE
-        return k
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def __missing__(self, key: Key) -> int:
-        whole = part(key)
-        core, marks = cut(whole) if self.parts else (whole, "")
         k = self[key] = len(self)
-        self.held += 2 * len(whole) + ENTRY
-        self.pairs.append((self._core(core), self._core(marks)))
+        self.new.append(key)
         return k
 
+    def _add(self, numbers: np.ndarray, ids: np.ndarray, lengths: np.ndarray) -> None:
+        """The ids of these parts, one behind the other."""
+        while self.used + len(ids) > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
+        self.flat[self.used : self.used + len(ids)] = ids
+        self.starts[numbers], self.lengths[numbers] = self.used + np.cumsum(lengths) - lengths, lengths
+        self.used += len(ids)
+
     def _settle(self) -> None:
-        if self.new_cores:
-            ids = self.encode(self.new_cores)
-            lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-            total = int(lengths.sum())
-            while self.used + total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros(len(self.flat), np.uint32)])
-            self.flat[self.used : self.used + total] = np.fromiter((i for x in ids for i in x), np.uint32, total)
-            self.starts = np.concatenate([self.starts, self.used + np.cumsum(lengths) - lengths])
-            self.lengths = np.concatenate([self.lengths, lengths])
-            self.used += total
-            self.new_cores = []
-        if self.pairs:
-            both = np.array(self.pairs, np.int64)
-            self.first, self.second = np.concatenate([self.first, both[:, 0]]), np.concatenate([self.second, both[:, 1]])
-            self.pairs = []
+        if not self.new:
+            return
+        first = len(self) - len(self.new)
+        strings, own, joined, held = [], [], [], 0
+        for k, key in enumerate(self.new, first):  # it grows meanwhile
+            alone = isinstance(key, tuple)
+            string = key[0] if alone else key if key[:1] == "\n" else " " + key
+            held += len(string)
+            if self.parts:
+                core, marks = cut(string)
+                if marks:
+                    joined.append((k, self[(core,) if alone else core if key[:1] == "\n" else core[1:]], self[(marks,)]))
+                    continue
+            strings.append(string)
+            own.append(k)
+        self.held += held + ENTRY * len(self.new)
+        self.new = []
+        more = np.zeros(len(self) - first, np.int64)
+        self.starts, self.lengths = np.concatenate([self.starts, more]), np.concatenate([self.lengths, more])
+        ids = self.encode(strings)
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        self._add(np.array(own, np.int64), np.fromiter(chain.from_iterable(ids), np.uint32, int(lengths.sum())), lengths)
+        if joined:
+            whole, *both = np.array(joined, np.int64).T
+            both = np.stack(both, axis=1)
+            lengths = self.lengths[both]
+            self._add(whole, gathered(self.flat, self.starts[both].ravel(), lengths.ravel()), lengths.sum(axis=1))
 
     def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one behind the other, and how many each has."""
+        collects = gc.isenabled()
+        gc.disable()  # nothing here is a cycle, and each pass of the collector would go through the whole cache
+        try:
+            return self._encoded(texts)
+        finally:
+            if collects:
+                gc.enable()
+
+    def _encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if self.held > self.most:
             self._clear()
         get, numbers, counts = self.__getitem__, [], np.zeros(len(texts), np.int64)
@@ -128,8 +146,6 @@ class PartCache(dict):
         numbers = np.concatenate([*numbers, np.zeros(0, np.int64)])
         if not len(numbers):
             return np.zeros(0, np.uint32), counts
-        cores = np.stack([self.first[numbers], self.second[numbers]], axis=1).ravel()
-        lengths = self.lengths[cores]
+        lengths = self.lengths[numbers]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        bounds = 2 * np.concatenate([[0], np.cumsum(counts)])
-        return gathered(self.flat, self.starts[cores], lengths), np.diff(ends[bounds])
+        return gathered(self.flat, self.starts[numbers], lengths), np.diff(ends[np.concatenate([[0], np.cumsum(counts)])])

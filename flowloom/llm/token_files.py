@@ -112,13 +112,15 @@ def _cache(path: str, plain: bool = False) -> tuple[PartCache, int]:
     # library's model encodes it without the steps around it.  A line end before it is a piece of its own.
     # Texts with the string of an added token, and all texts of other tokenizers, go whole through the library.
     model, line_end = tokenizer.model, tokenizer.encode("\n", add_special_tokens=False).ids
-    usual = _word_is_piece(tokenizer)
+    usual, blank = _word_is_piece(tokenizer), chr(_SHOWN[32])
 
     def encode(parts: list[str]) -> list[list[int]]:
         out: list[list[int]] = []
         others = []
         for s in parts:
-            if usual and (m := _WORD.fullmatch(s)):
+            if usual and s[:1] == " " and s.isascii() and s[1:].isalpha():
+                out.append([x.id for x in model.tokenize(blank + s[1:])])
+            elif usual and (m := _WORD.fullmatch(s)):
                 ids = [x.id for x in model.tokenize(m[2].encode().decode("latin-1").translate(_SHOWN))]
                 out.append(line_end + ids if m[1] else ids)
             else:

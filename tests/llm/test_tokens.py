@@ -108,6 +108,24 @@ def test_long_pieces(reference, letters):
     assert bpe.decode(ids).tobytes() == long.encode() and time.perf_counter() - began < 30
 
 
+def test_a_word_is_held_and_encoded_once():
+    """A cache of parts holds a word once, beside its ids, and encodes it once, whatever marks are behind it."""
+    asked = []
+
+    def encode(strings):
+        asked.extend(strings)
+        return [list(s.encode()) for s in strings]
+
+    words = ["".join(random.Random(k).choices("abcdefgh", k=7)) for k in range(2000)]
+    cache = PartCache(encode)
+    texts = [" ".join(words), " ".join(w + "," for w in words), "\n".join(w + ")." for w in words)]
+    ids, n = cache.encoded(texts[:1])
+    assert cache.held < 300 * len(words) and len(cache) == len(set(words))
+    more = cache.encoded(texts[1:])
+    assert bytes(ids.tolist()) + bytes(more[0].tolist()) == "".join(texts).encode() and [*n, *more[1]] == list(map(len, texts))
+    assert len(asked) == len(set(asked))
+
+
 def test_another_pattern_takes_whole_texts():
     import tiktoken
 
