@@ -124,7 +124,8 @@ def tally(strength: np.ndarray, good: np.ndarray) -> list[np.ndarray]:
     low = int(at.min()) if len(at) else 0
     at, rest = at - low, strength / STEP - at
     n = int(at.max()) + 2 if len(at) else 0
-    counts = [np.bincount(at[own], 1 - rest[own], n) + np.bincount(at[own] + 1, rest[own], n) for own in (good, ~good)]
+    # From floats, since bincount() of no documents gives integers, whatever its weights.
+    counts = [np.zeros(n) + np.bincount(at[own], 1 - rest[own], n) + np.bincount(at[own] + 1, rest[own], n) for own in (good, ~good)]
     used = counts[0] + counts[1] > 0
     return [x[used] for x in (np.arange(low, low + n), *counts)]
 

@@ -15,7 +15,7 @@ from flowloom.llm import decontamination as dc
 from flowloom.llm import pii
 from flowloom.llm._common import Workspace
 from flowloom.llm.language_id import identify, language_stage, op8_language_id, pages_language_id, source_parts
-from flowloom.llm.quality import N_FEATURES, N_SURFACE, RIDGE, expand, features, fit, op4_quality, ranked, scored, train
+from flowloom.llm.quality import N_FEATURES, N_SURFACE, RIDGE, expand, features, fit, op4_quality, ranked, scored, tally, train
 from tests.llm.conftest import frame
 
 
@@ -275,6 +275,34 @@ def test_all_labels_are_learnt_from(spark):
     assert np.allclose(m.weights, same.weights, atol=1e-3) and abs(m.cut - same.cut) < 1e-2
 
 
+@pytest.mark.parametrize("good", [[], [True], [False] * 3, [True, False]])
+def test_shares_are_no_integers(good):
+    steps, *counts = tally(np.linspace(0, 1, len(good)), np.array(good, bool))
+    assert steps.dtype == np.int64 and [x.dtype for x in counts] == [np.float64] * 2
+    assert [x.sum() for x in counts] == [sum(good), len(good) - sum(good)]
+
+
+@pytest.mark.parametrize("most", [1, 2, 7])
+def test_batches_of_one_label(spark, most):
+    """What is learnt is the same where rows come in batches that hold good documents alone, or bad ones."""
+    rows = [(k, "fine words" if k % 3 else "fine w0rds !") for k in range(60)]
+    good = {k: (k % 3 > 0) != (k % 5 == 0) for k, _ in rows}
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(good[k])) for k, _ in rows], "doc_id long, quality int")
+    usable = [(k, t) for k, t in rows if zlib.crc32(str(k).encode()) % 5]
+    same = fit(features(pa.array([t for _, t in usable])).astype(np.float32).astype(float), np.array([good[k] for k, _ in usable]))
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    was = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        m = train(docs, labels)
+        got = {r.doc_id: r.score for r in scored(docs, m).collect()}
+    finally:
+        spark.conf.set(name, was)
+    expected = same.scores(features(pa.array([t for _, t in rows])).astype(np.float32).astype(float))
+    assert np.allclose(m.weights, same.weights, atol=1e-3) and np.allclose([got[k] for k, _ in rows], expected, atol=1e-3)
+
+
 def test_ranked_is_exact(spark):
     rng = np.random.default_rng(4)
     values = np.concatenate([rng.normal(size=3000) * 1e-6, np.full(500, 0.25), rng.normal(size=500) * 1e3])
