@@ -12,6 +12,7 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +40,25 @@ def shared_dir(spark: SparkSession) -> str:
     return "file://" + _own[app]
 
 
+def give_back_driver(spark: SparkSession) -> None:
+    """Returns memory that the driver's JVM has freed outside its heap to the system, as give_back() does for workers.
+
+    What its compiler and its many threads take and free for each plan stays in the C library's arenas, and adds up over
+    the queries of a session.  A JVM without that command goes on as before."""
+    if (sc := spark.sparkContext)._jvm is None:
+        return
+    try:
+        java, new = sc._jvm.java.lang, sc._gateway.new_array
+        # By the public interface: the class behind it is closed to reflection.
+        kinds = new(java.Class, 4)
+        kinds[0], kinds[1], kinds[2], kinds[3] = (java.Class.forName(k) for k in ("javax.management.ObjectName", "java.lang.String", "[Ljava.lang.Object;", "[Ljava.lang.String;"))
+        given = new(java.Object, 4)
+        given[0], given[1] = sc._jvm.javax.management.ObjectName("com.sun.management:type=DiagnosticCommand"), "systemTrimNativeHeap"
+        java.Class.forName("javax.management.MBeanServer").getMethod("invoke", kinds).invoke(java.management.ManagementFactory.getPlatformMBeanServer(), given)
+    except Py4JError:
+        pass
+
+
 class Workspace:
     """Tables written to the shared folder.  They cut lineage, and outlive any executor."""
 
@@ -58,13 +78,14 @@ class Workspace:
             pass
 
     def table(self, df: DataFrame, name: str, compression: str = "zstd") -> DataFrame:
-        """Writes df and reads it back.  Spark deletes the shuffle files behind it as soon as it is written."""
+        """Writes df and reads it back.  Spark deletes the shuffle files behind it as soon as it is written, and the driver gives back what it took for the plan."""
         was = self.spark.conf.get(_CLEAN, "false")
         self.spark.conf.set(_CLEAN, "true")
         try:
             df.write.option("compression", compression).parquet(f"{self.root}/{name}")
         finally:
             self.spark.conf.set(_CLEAN, was)
+            give_back_driver(self.spark)
         return self.spark.read.schema(df.schema).parquet(f"{self.root}/{name}")
 
     def drop(self, name: str) -> None:

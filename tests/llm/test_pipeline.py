@@ -55,3 +55,27 @@ def test_sql(spark, sf, name):
     want = con.execute(SQL[name])
     names = [d[0] for d in want.description]
     assert sorted(tuple(r[n] for n in names) for r in got.collect()) == sorted(want.fetchall())
+
+
+@pytest.mark.skipif(not os.path.exists("/proc/self/smaps_rollup"), reason="memory can't be read here")
+def test_driver_gives_memory_back(spark, ws):
+    """What the driver's JVM freed outside its heap goes back to the system when a table is written."""
+
+    def held():
+        with open(f"/proc/{spark.sparkContext._gateway.proc.pid}/smaps_rollup") as f:
+            return next(int(line.split()[1]) for line in f if line.startswith("Pss_Anon")) // 1024
+
+    ws.table(spark.range(10), "before")
+    made = [spark._jvm.java.util.zip.Deflater() for _ in range(1200)]  # each takes a quarter of a MB there
+    data = bytes(range(256)) * 1024
+    for k, x in enumerate(made):
+        x.setInput(data)
+        x.deflate(bytearray(1))
+        if k % 8:
+            x.end()
+    many = held()
+    ws.table(spark.range(10), "after")
+    few = held()
+    for x in made[::8]:
+        x.end()
+    assert few < many - 40
